@@ -1,0 +1,156 @@
+"""Labelled exemplars of template residue, and of genuine talk about it.
+
+⟦slot⟧ stands for any unfilled placeholder. PHRASES are sentences; VOCABULARIES are bags of words of which filler is
+made, in any order; GENUINE are contexts in which people write about placeholders, so that the slot in them is meant.
+"""
+
+# Sentences of unfilled templates, filler, error pages and script notices.
+PHRASES = [
+    # scripts are required
+    "Please enable JavaScript to view this page.",
+    "Please enable JavaScript.",
+    "Please enable JavaScript in your browser to continue.",
+    "Please turn on JavaScript to load the rest of this thread.",
+    "You need to enable JavaScript to run this app.",
+    "This site requires scripts.",
+    "This page requires JavaScript.",
+    "This site requires JavaScript to work.",
+    "Your browser blocks them, so the answer can not be shown.",
+    "Your browser has scripts turned off.",
+    "Your browser does not support JavaScript.",
+    "Your browser is out of date or blocks scripts; a plain copy follows.",
+    "JavaScript is disabled in your browser.",
+    "JavaScript must be enabled to use this site.",
+    "noscript: this forum does not work without JavaScript turned on.",
+    "Turn it on and reload to see the comments.",
+    "Turn them on to read the replies.",
+    "Scripts are off. Some replies stay hidden.",
+    "Some replies stay hidden.",
+    "Loading answers ... (scripts must be allowed)",
+    "(scripts must be allowed)",
+    "The rest of this answer needs JavaScript.",
+    "Bitte aktivieren Sie JavaScript, um diese Seite anzuzeigen.",
+    "Veuillez activer JavaScript pour afficher cette page.",
+    "Activa JavaScript para ver esta página.",
+    "Por favor, active JavaScript para ver esta página.",
+    "Ative o JavaScript para ver esta página.",
+    "Por favor, ative o JavaScript para ver esta página.",
+    # error pages and messages
+    "404 Not Found",
+    "500 Internal Server Error",
+    "503 Service Unavailable",
+    "The page you asked for does not exist on this server.",
+    "The requested URL was not found on this server.",
+    "The requested thread was not found.",
+    "This page could not be loaded.",
+    "Check the address or go back to the start page.",
+    "[content could not be loaded]",
+    "The post was removed or has never existed.",
+    "Service temporarily unavailable.",
+    "We are doing maintenance, back in 9 minutes.",
+    "Bad Gateway",
+    "Gateway timeout after 9 s",
+    "Forbidden",
+    "You may not read /t/9 on this server.",
+    "Access denied.",
+    "You do not have permission to view this thread.",
+    "Session expired.",
+    "Please sign in again to continue.",
+    "Too many requests from your network.",
+    "Checking your browser before you proceed ... this takes 9 seconds.",
+    "Internal error.",
+    "Internal error. Ref.",
+    "An unexpected error occurred.",
+    "Error 9: the upstream did not answer in time.",
+    "Error 9: the upstream did not answer.",
+    "Please try again later.",
+    "Error while loading the attachment list.",
+    '{"error": {"code": 9, "message": "thread lookup failed", "trace": "9"}}',
+    '{"error": {"code": 9, "message": "internal error"}}',
+    "Index of /posts/",
+    "Oops! Something went wrong on our side.",
+    "Something went wrong. Please try again.",
+    "Retry failed, giving up.",
+    "Fatal error: out of memory while rendering this post",
+    "Warning: database connection refused, post body incomplete, code 9",
+    "Notice: undefined index 'body' in thread view",
+    "Seite nicht gefunden.",
+    "Der gewünschte Beitrag ist nicht vorhanden.",
+    "Interner Fehler.",
+    "Bitte später erneut versuchen.",
+    "Page introuvable.",
+    "Le message demandé n'existe pas.",
+    "Erreur interne.",
+    "Página no encontrada.",
+    "El mensaje pedido no existe.",
+    "Error interno.",
+    "Error interno, inténtelo más tarde. Ref.",
+    "Error interno, inténtelo más tarde.",
+    "Erreur interne du serveur, réessayez plus tard. Réf.",
+    "Erreur interne, veuillez réessayer plus tard.",
+    "Erro interno, tente mais tarde.",
+    "<Error><Code>NoSuchObject</Code><Key>posts/9.txt</Key></Error>",
+    "Página não encontrada.",
+    "A mensagem pedida não existe.",
+    "Erro interno.",
+    # filler
+    "Your answer here.",
+    "Your text here.",
+    "Text goes here.",
+    "More text goes here.",
+    "Replace this text with your question.",
+    "[more text to follow here]",
+    "[no content yet]",
+    "This is a placeholder answer.",
+    "Content coming soon.",
+    "Sample answer text.",
+    "Insert question body",
+    "Paragraph one. Paragraph two. Paragraph three.",
+    "Paragraph one.",
+    "Paragraph two.",
+    "Paragraph three.",
+    "Title Subtitle",
+    "TODO: write the answer",
+    "TODO: add the steps",
+    "TODO: rest of the answer",
+    "blah blah blah, rest to be written",
+    "XXX XXX XXX fill in later XXX",
+    "(answer goes below this line)",
+    "(answer goes above this line)",
+    "Lorem ipsum dolor sit amet",
+    "Hier steht später Ihr Text.",
+    "Votre texte ici.",
+    "Su texto aquí.",
+    "Aquí va su texto.",
+    "O seu texto aqui.",
+]
+
+# Words of which filler texts are made.
+VOCABULARIES = [
+    (
+        "lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor incididunt ut labore et dolore magna aliqua enim ad"
+        " minim veniam quis nostrud exercitation ullamco laboris nisi aliquip ex ea commodo consequat duis aute irure in reprehenderit"
+        " voluptate velit esse cillum eu fugiat nulla pariatur excepteur sint occaecat cupidatat non proident sunt culpa qui officia deserunt"
+        " mollit anim id est laborum aqua campus caulis felis folium herba hortia luna mollis nocte nusquam plenum quando radix rigor semina"
+        " silva solum tempus terra umbra velorum ventus vitae"
+    ),
+]
+
+# Words that are filler by themselves when a window holds nothing else.
+MASHES = ["asdf asdfg qwer qwerty jklö jkl xx xxx xxxx blah bla dummy foo foobar test"]
+
+# What people write around a placeholder that they mean.
+GENUINE = [
+    "My label printer prints ⟦slot⟧ instead of the bed name, which setting fills it in?",
+    "The template prints ⟦slot⟧ instead of the value.",
+    "Le gabarit affiche ⟦slot⟧ tel quel, il manque l'appel à render() avant l'envoi.",
+    "Put ⟦slot⟧ into the file name, the logger expands it at midnight.",
+    "Replace ⟦slot⟧ in the sample with the pin number, then it compiles.",
+    "Write ⟦slot⟧ in the header and the form replaces it with the date.",
+    "You have to set ⟦slot⟧ before the call, otherwise the template keeps the raw ⟦slot⟧.",
+    "The variable ⟦slot⟧ is not replaced.",
+    "The page 'access denied' comes from the router, not from the pump; log in there first.",
+    "An internal server error 9 here means that the table is locked; wait and try again.",
+    "It only says that JavaScript is required.",
+    "Is there a way to read the garden page without scripts?",
+]
