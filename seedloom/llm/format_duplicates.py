@@ -171,7 +171,8 @@ def _verify(n: int):
 def format_duplicates(df: DataFrame, id: str = "id", fields: tuple[str, ...] = ("subjectId", "languageTag", "value")) -> DataFrame:
     """Membership of duplicates: id_first (the smallest id of the group), id_copy (every other id of it).
 
-    Records are copies if each field holds the same letters and digits in the same order, letter case aside; accents count. A NULL
+    Records are copies if each field holds the same letters and digits in the same order, letter case aside; accents count,
+    several on one letter in the order in which they are written (composed letters have Unicode's order). A NULL
     field equals a NULL field only, not an empty one. Rows with a NULL id take no part; a repeated id is one record unless
     its fields differ, in which case it belongs to several groups. Groups of one record give no row. Texts of any
     length are read whole. Other columns are left out.

@@ -33,6 +33,8 @@ COSINE = 0.45
 RUN = 12
 #: Share of an item's words in common order, and of its answers, that make a paraphrase.
 PARAPHRASE, ANSWERS = 0.6, 0.5
+#: Cosine from which a candidate that isn't verbatim is checked for a paraphrase.
+NEAR = 0.6
 #: Fewest words that a passage and an item can share.
 LEAST_SHARED = 10
 #: The vocabulary of the held-out items, which every task holds, can't be larger.
@@ -287,7 +289,7 @@ def _checked(held: HeldOut, found: list[str], d: int, item: int, cosine: float,
     wanted = held.items[item]
     get = held.runs.get
     verbatim = any(item in get(tuple(found[k : k + RUN]), ()) for k in range(len(found) - RUN + 1))
-    if not verbatim and cosine < 0.8:
+    if not verbatim and cosine < NEAR:
         return None
     near = found[max(0, start - len(wanted)) : start + WORDS + len(wanted)]
     common = common_subsequence(wanted, near)
