@@ -46,11 +46,12 @@ _QUOTED = re.compile(r"\"[^\"\n]{2,}\"|“[^”\n]{2,}”|„[^“”\n]{2,}[“
 _CODE_LINE = re.compile(r"\{%|[;{]\s*$|=>|\w\(.*\)\s*:?\s*$|^\s*(?:for|if|while|try|except|with|def|return|const|let|var|import|do|done|else)\b.*[:;)=]?\s*$.*[=({]|\w\s*[+\-]?=\s*\S|^\s*(?:SELECT|FROM|WHERE|GROUP BY|ORDER BY|JOIN)\b|^\s*\./|</?(?:li|td|tr|ul)>|^\s*(?:try:|done|do|else:|\}\)?;?)\s*$")
 _SENTENCE = re.compile(r"(?<=[.!?…])\s+|\n|</?[a-z]\w*[^<>]*>|\s\|\s")
 _WORD = re.compile(r"⟦slot⟧|[^\W_]+")
+_HEX = re.compile(r"[a-f]{4,}")
 
 
 def words(text: str) -> list[str]:
-    """Words of a window in small letters; runs with a digit (numbers, references) are left out."""
-    return [w for w in _WORD.findall(text.casefold()) if not any(map(str.isdigit, w))]
+    """Words of a window in small letters; numbers and references (runs with a digit, or of hexadecimal letters only) are left out."""
+    return [w for w in _WORD.findall(text.casefold()) if not any(map(str.isdigit, w)) and not _HEX.fullmatch(w)]
 
 
 def prose(text: str) -> str:
