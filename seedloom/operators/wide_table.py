@@ -133,7 +133,7 @@ def characteristic_sets(cells: DataFrame) -> DataFrame:
     return sets.withColumn("signature", F.concat_ws("\n", F.array_sort(F.map_keys("cells"))))
 
 
-def wide_table(assertions: DataFrame, registry: DataFrame, subject: str = "subjectId", predicate: str = "predicate", value: str = "value", order: tuple[str, ...] = (), dense: int = 12) -> DataFrame:
+def wide_table(assertions: DataFrame, registry: DataFrame, subject: str = "subjectId", predicate: str = "predicate", value: str = "value", order: tuple[str, ...] = (), dense: int = 6) -> DataFrame:
     """One row per subject that has a filled cell, and one typed column per predicate of the registry.
 
     Of several assertions that fill the same cell the first by ``order``, then by the value's text, is taken; repeated
