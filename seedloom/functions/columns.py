@@ -70,3 +70,10 @@ def in_month_day_window(day: Column, start: Column, end: Column) -> Column:
     """Whether a date lies in a yearly window of MM-DD text, both ends included; a window may run over the turn of the year."""
     at = F.date_format(day, "MM-dd")
     return F.when(start <= end, at.between(start, end)).otherwise((at >= start) | (at <= end))
+
+
+def month_window(start_month: Column, end_month: Column) -> Column:
+    """Advice given in months as an explicit window of MM-DD with month precision; NULL for an impossible month."""
+    last = F.element_at(F.array(*[F.lit(d) for d in (31, 29, 31, 30, 31, 30, 31, 31, 30, 31, 30, 31)]), end_month.cast("int"))
+    good = start_month.between(1, 12) & end_month.between(1, 12)
+    return F.when(good, F.struct(F.format_string("%02d-01", start_month.cast("int")).alias("start"), F.format_string("%02d-%02d", end_month.cast("int"), last).alias("end"), F.lit("month").alias("precision")))

@@ -155,6 +155,18 @@ def verify(expected: DataFrame, files: DataFrame) -> DataFrame:
     return both.select("path", F.explode(problems).alias("problem")).unionByName(repeated)
 
 
+def verdict(problems: DataFrame) -> DataFrame:
+    """One row: activatable, and the problems as sorted ``path: problem`` texts; a release with any problem must not be activated."""
+    listed = F.array_sort(F.collect_set(F.concat_ws(": ", "path", "problem")))  # a release has few files
+    return problems.agg(listed.alias("reasons")).select((F.size("reasons") == 0).alias("activatable"), "reasons")
+
+
+def append_release(df: DataFrame, folder: str, version: str) -> None:
+    """Adds a release's records as a partition of their own; a version that is there already is refused."""
+    target = f"{folder}/catalogVersion={version}"
+    df.write.mode("errorifexists").parquet(target)
+
+
 def compare_manifests(expected: DataFrame, actual: DataFrame, key: str, values: list[str]) -> DataFrame:
     """Keys on which two manifests differ: key, problem (missing, extra or mismatch). Keys are unique; NULL values are equal."""
     b = actual.select(F.col(key).alias("__key"), *[F.col(v).alias(f"__{v}") for v in values])

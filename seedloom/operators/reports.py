@@ -95,6 +95,19 @@ def exclusions(df: DataFrame, reasons: dict[str, Column]) -> DataFrame:
     return df.withColumn("reason", picked).where("reason is not null")
 
 
+def generic_facts(assertions: DataFrame, cultivars: DataFrame) -> DataFrame:
+    """Predicates of plant concepts: plantConceptId, predicate, limitation.
+
+    Facts of a cultivar never widen to its plant concept: where only cultivars have a predicate, the row says ``cultivar-only``
+    instead of NULL. ``assertions`` has subjectType, subjectId, predicate; ``cultivars`` has id, plantConceptId.
+    """
+    own = assertions.where("subjectType = 'plant-concept'").select(F.col("subjectId").alias("plantConceptId"), "predicate", F.lit(0).alias("far"))
+    below = assertions.where("subjectType = 'cultivar'").select(F.col("subjectId").alias("id"), "predicate").distinct()
+    below = below.join(cultivars.select("id", "plantConceptId").distinct(), "id").select("plantConceptId", "predicate", F.lit(1).alias("far"))
+    nearest = own.unionByName(below).where("plantConceptId is not null and predicate is not null").groupBy("plantConceptId", "predicate").agg(F.min("far").alias("far"))
+    return nearest.select("plantConceptId", "predicate", F.when(F.col("far") == 1, "cultivar-only").alias("limitation"))
+
+
 def normalised_units(df: DataFrame, value: str, unit: str, factors: dict[str, tuple[str, float]]) -> DataFrame:
     """Values in their base unit, with the original kept: adds base_value and base_unit; unknown units leave both NULL."""
     known = F.create_map(*[x for u, (base, factor) in factors.items() for x in (F.lit(u), F.struct(F.lit(base).alias("base"), F.lit(float(factor)).alias("factor")))])

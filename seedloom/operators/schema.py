@@ -8,6 +8,7 @@ filters. Unknown keywords fail the compilation.
 
 from __future__ import annotations
 
+import hashlib
 import json
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
@@ -17,6 +18,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from seedloom.functions.canonical_json import canonical_bytes
 from seedloom.functions.columns import pointer_member
 from seedloom.sources.schema_files import SchemaCompileError, is_absolute_id, schema_documents
 
@@ -263,6 +265,10 @@ class SchemaSet:
             self.compile(schema_id)
         return self
 
+    def fingerprint(self) -> str:
+        """Digest of all documents, the same whatever the order or layout of their files."""
+        return hashlib.sha256(canonical_bytes({k: self.documents[k] for k in sorted(self.documents)})).hexdigest()
+
     def compile(self, schema_id: str) -> Compiled:
         """The compiled schema of an id."""
         if schema_id not in self.documents:

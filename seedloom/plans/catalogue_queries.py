@@ -16,6 +16,7 @@ from seedloom.operators.artifacts import assign_chunks, compare_builds, compare_
 from seedloom.operators.schema import SchemaSet, listed_errors, with_validity
 from seedloom.operators.wide_table import spelling
 from seedloom.sources import catalogue_schemas
+from seedloom.sources.adapters import Mapping, Release, import_run, to_assertions
 from seedloom.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -511,3 +512,42 @@ def evidence_projection(spark, sf):
     uses = read_table(spark, sf, "assertions", "id", "predicate", "evidenceReferenceIds").select("id", "predicate", F.explode(F.array_distinct("evidenceReferenceIds")).alias("e"))
     evidence = read_table(spark, sf, "evidence_references", "id", "sourceManifestId").groupBy(F.col("id").alias("e")).agg(F.min("sourceManifestId").alias("sourceManifestId"))
     return uses.join(evidence, "e").groupBy("sourceManifestId", "predicate").agg(F.count("*").alias("assertions"), F.count_distinct("id").alias("records"))
+
+
+def _imported(spark, sf):
+    rows = read_table(spark, sf, "part", "p_partkey", "p_name", "p_size", "p_retailprice", "p_brand")
+    release = Release("source_parts", "manifest_parts", "1", "licence_open_a")
+    mappings = [Mapping("size", "p_size", "cm"), Mapping("price", "p_retailprice"), Mapping("brand", "p_brand")]
+    locator = F.when(F.col("p_size") > 1, F.concat(F.lit("part/"), F.col("p_partkey").cast("string")))
+    return to_assertions(rows, release, "part", F.concat(F.lit("part_"), F.col("p_partkey").cast("string")), F.col("p_partkey"), locator, mappings)
+
+
+@query("""
+SELECT 'source_parts:1:' || p_partkey || ':' || m.predicate AS id, 'part_' || p_partkey AS subjectId, m.predicate, m.value FROM part
+CROSS JOIN LATERAL (VALUES ('size', p_size::VARCHAR), ('brand', to_json(p_brand)::VARCHAR)) m(predicate, value) WHERE p_size > 1 AND m.value IS NOT NULL
+""")
+def adapted_assertions(spark, sf):
+    """Parts of a release as assertions (text and whole numbers)."""
+    return _imported(spark, sf)[0].where("predicate <> 'price'").select("id", "subjectId", "predicate", "value")
+
+
+@query("""
+SELECT 'assertions' AS what, NULL AS reason, (SELECT count(p_size) + count(p_retailprice) + count(p_brand) FROM part WHERE p_size > 1) AS n UNION ALL SELECT 'evidence', NULL, (SELECT count(DISTINCT p_partkey) FROM part WHERE p_size > 1)
+UNION ALL SELECT 'rejected', 'no locator', n FROM (SELECT count(*) AS n FROM part WHERE p_size <= 1 OR p_size IS NULL) WHERE n > 0
+""")
+def import_run_counts(spark, sf):
+    """What an import run made and refused."""
+    return import_run(*_imported(spark, sf))
+
+
+@query("""
+WITH a AS (SELECT DISTINCT subjectType, subjectId, predicate FROM assertions WHERE predicate IS NOT NULL),
+c AS (SELECT DISTINCT r.cultivarId AS id, s.id AS plant FROM cultivation_rules r JOIN plant_concepts s ON right(s.id, 5) = right(r.cultivarId, 5) WHERE r.cultivarId IS NOT NULL)
+SELECT plant AS plantConceptId, predicate, CASE WHEN min(far) = 1 THEN 'cultivar-only' END AS limitation FROM (
+  SELECT subjectId AS plant, predicate, 0 AS far FROM a WHERE subjectType = 'plant-concept' AND subjectId IS NOT NULL UNION ALL SELECT c.plant, a.predicate, 1 FROM a JOIN c ON a.subjectId = c.id WHERE a.subjectType = 'cultivar') GROUP BY 1, 2
+""")
+def generic_facts(spark, sf):
+    """Predicates that plants have themselves, or only through a cultivar of the same number."""
+    plants = read_table(spark, sf, "plant_concepts", "id").where("id is not null").distinct().select(F.col("id").alias("plantConceptId"), F.right("id", F.lit(5)).alias("n"))
+    cultivars = read_table(spark, sf, "cultivation_rules", "cultivarId").where("cultivarId is not null").distinct().select(F.col("cultivarId").alias("id"), F.right("cultivarId", F.lit(5)).alias("n"))
+    return reports.generic_facts(read_table(spark, sf, "assertions", "subjectType", "subjectId", "predicate"), cultivars.join(plants, "n"))

@@ -59,6 +59,7 @@ def test_release(spark, lines, tmp_path):
     listed = spark.createDataFrame([(x["path"], x["sha256"], x["byteSize"], x["entryCount"], True) for x in manifest["requiredArtifacts"]], "path string, sha256 string, byteSize bigint, entryCount bigint, required boolean")
     files = lambda: read_binary(spark, str(tmp_path), "*.gz").select(F.element_at(F.split("path", "/"), -1).alias("path"), "content")
     assert a.verify(listed, files()).collect() == []
+    assert tuple(a.verdict(a.verify(listed, files())).first()) == (True, [])
     (tmp_path / manifest["requiredArtifacts"][0]["path"]).write_bytes(b"broken")
     (tmp_path / manifest["requiredArtifacts"][1]["path"]).unlink()
     (tmp_path / "more.gz").write_bytes(a.compress(b"", 0).data)
@@ -74,3 +75,12 @@ def test_comparisons(spark):
     z = spark.createDataFrame([("a", 5), ("c", None), ("d", 3)], "k string, n int")
     got = sorted(tuple(r) for r in a.compare_manifests(x.distinct(), z, "k", ["n"]).collect())
     assert got == [("a", "mismatch"), ("b", "missing"), ("d", "extra")]
+
+
+def test_releases_are_never_changed(spark, tmp_path):
+    df = spark.createDataFrame([("a",)], "id string")
+    a.append_release(df, str(tmp_path), "1.0.0")
+    a.append_release(df, str(tmp_path), "1.1.0")
+    with pytest.raises(Exception, match="(?i)exists"):
+        a.append_release(df, str(tmp_path), "1.0.0")
+    assert sorted(r.catalogVersion for r in spark.read.parquet(str(tmp_path)).select(F.col("catalogVersion").cast("string")).collect()) == ["1.0.0", "1.1.0"]

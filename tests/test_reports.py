@@ -62,3 +62,29 @@ def test_columns(spark):
     assert [x[0] for x in days.select(c.in_month_day_window(F.col("d"), F.lit("11-01"), F.lit("02-15"))).collect()] == [True, False]
     window = days.select(c.window_dates(F.col("d"), F.lit(-7), F.lit(2)).alias("w")).first().w
     assert (window.start, window.end) == (dt.date(2023, 12, 29), dt.date(2024, 1, 7))
+
+
+def test_scopes_do_not_widen(spark):
+    said = spark.createDataFrame([("plant-concept", "p", "size"), ("cultivar", "c", "size"), ("cultivar", "c", "colour"), ("cultivar", "x", "taste"), (None, "p", "taste"), ("plant-concept", None, "size"), ("cultivar", "c", None)], "subjectType string, subjectId string, predicate string")
+    cultivars = spark.createDataFrame([("c", "p"), ("c", "p"), ("d", None)], "id string, plantConceptId string")
+    assert values(r.generic_facts(said, cultivars)) == [("p", "colour", "cultivar-only"), ("p", "size", None)]
+
+
+def test_month_windows(spark):
+    df = spark.createDataFrame([(2, 2), (11, 4), (0, 3), (1, 13), (None, 1)], "a int, b int")
+    found = [x[0] and tuple(x[0]) for x in df.select(c.month_window(F.col("a"), F.col("b"))).collect()]
+    assert found == [("02-01", "02-29", "month"), ("11-01", "04-30", "month"), None, None, None]
+
+
+def test_adapter(spark):
+    import pytest
+
+    from seedloom.sources.adapters import Mapping, Release, import_run, to_assertions
+
+    df = spark.createDataFrame([(1, "a", 2.5, '5"'), (1, "a", 2.5, '5"'), (2, None, 1.0, None), (3, "c", None, None), (None, "d", 1.0, "x")], "n int, plant string, depth double, note string")
+    parts = to_assertions(df, Release("s", "m", "1", "l"), "plant-concept", F.col("plant"), F.col("n"), F.concat(F.lit("row/"), F.col("n").cast("string")), [Mapping("depth", "depth", "cm"), Mapping("note", "note")])
+    assert values(parts[0].select("id", "value", "normalization.originalValue", "normalization.unit")) == sorted([("s:1:1:depth", "2.5", "2.5", "cm"), ("s:1:1:note", '"5\\""', '5"', None)] * 2, key=str)
+    assert values(parts[1].select("id", "locator")) == [("evidence:s:1:1", "row/1"), ("evidence:s:1:3", "row/3")]
+    assert values(import_run(*parts)) == [("assertions", None, 4), ("evidence", None, 2), ("rejected", "no record", 1), ("rejected", "no subject", 1)]
+    with pytest.raises(ValueError):
+        to_assertions(df, Release("s", "m", "1", "l"), "x", F.col("plant"), F.col("n"), F.col("n"), [Mapping("p", "none")])

@@ -138,6 +138,11 @@ def test_compile_errors():
     SchemaSet(documents()).compile_all()
 
 
+def test_fingerprint_ignores_order():
+    made = documents()
+    assert SchemaSet(made).fingerprint() == SchemaSet(dict(reversed(made.items()))).fingerprint() != SchemaSet([{"$id": "urn:a"}]).fingerprint()
+
+
 def test_absolute_ids():
     assert is_absolute_id({"$id": "urn:x:y"}) and is_absolute_id({"$id": "https://example.org/s"})
     assert not any(map(is_absolute_id, [{}, [], {"$id": ""}, {"$id": "relative/s.json"}, {"$id": 1}, None]))
