@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seedloom.functions.canonical_json import SAFE_INTEGER, canonical_bytes
+from seedloom.plans.lineage import written
 
 #: Uncompressed bytes of a chunk, so that the compressed chunk stays near 1 MiB for usual records, and the most that it may have.
 CHUNK_BYTES, MOST_COMPRESSED = 4 << 20, 2 << 20
@@ -68,9 +69,10 @@ def compress(data: bytes, entry_count: int) -> Artifact:
 def assign_chunks(df: DataFrame, key: str, size: str, limit: int) -> DataFrame:
     """``df`` with ``chunk``: the running size before a row, in order of ``key`` (unique), divided by ``limit``.
 
-    The running sum is cut into ranges of the key: sums of ranges are carried over, so no task sees more than its range.
+    The running sum is cut into ranges of the key: sums of ranges are carried over, so no task sees more than its range. The
+    ranges are written once, with their numbers, so that both readers see the same ones.
     """
-    part = df.repartitionByRange(F.col(key)).sortWithinPartitions(key).withColumn("__part", F.spark_partition_id())
+    part = written(df.repartitionByRange(F.col(key)).withColumn("__part", F.spark_partition_id()))
     totals = part.groupBy("__part").agg(F.sum(size).alias("__sum"))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
     totals = totals.withColumn("__before", F.coalesce(F.sum("__sum").over(before), F.lit(0))).drop("__sum")

@@ -145,7 +145,8 @@ def wide_table(assertions: DataFrame, registry: DataFrame, subject: str = "subje
     if clash or len({c.lower() for c in columns}) < len(columns):
         raise ValueError("two columns of the wide table would have the same name")
     sets = characteristic_sets(typed_cells(assertions, registry, subject, predicate, value, order))
-    sets = written(sets.repartitionByRange("signature").sortWithinPartitions("signature"))
+    # The subject splits the range of a signature that very many subjects have.
+    sets = written(sets.repartitionByRange("signature", "subject").sortWithinPartitions("signature"))
     frequent = [r.signature for r in sets.groupBy("signature").count().orderBy(F.desc("count"), "signature").limit(dense).collect()]
 
     def table(rows: DataFrame, names: list[str]) -> DataFrame:
