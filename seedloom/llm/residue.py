@@ -34,6 +34,9 @@ FILLER_WORDS = 4
 #: Words of a window and of the step to the next, in sentences longer than a window.
 WINDOW, STEP = 16, 8
 
+#: Weights that a task remembers.
+REMEMBERED = 100_000
+
 SLOT = "⟦slot⟧"
 _NAME = r"[A-Za-z][\w.]*"
 _PLACEHOLDER = re.compile(
@@ -43,7 +46,9 @@ _PLACEHOLDER = re.compile(
 _FENCE = re.compile(r"^(```|~~~).*?(?:^\1[^\n]*$|\Z)", re.M | re.S)
 _INLINE = re.compile(r"`[^`\n]+`")
 _QUOTED = re.compile(r"\"[^\"\n]{2,}\"|“[^”\n]{2,}”|„[^“”\n]{2,}[“”]|«[^»\n]{2,}»|(?<!\w)'[^'\n]{2,}'(?!\w)")
+_QUOTE, _OPENING = re.compile("[\"'“„«]"), re.compile(r"[{%_@<\[&]")  # what a quotation or a placeholder can start with
 _CODE_LINE = re.compile(r"\{%|[;{]\s*$|=>|\w\(.*\)\s*:?\s*$|^\s*(?:for|if|while|try|except|with|def|return|const|let|var|import|do|done|else)\b.*[:;)=]?\s*$.*[=({]|\w\s*[+\-]?=\s*\S|^\s*(?:SELECT|FROM|WHERE|GROUP BY|ORDER BY|JOIN)\b|^\s*\./|</?(?:li|td|tr|ul)>|^\s*(?:try:|done|do|else:|\}\)?;?)\s*$")
+_PLAIN_SENTENCE = re.compile(r"(?<=[.!?…])\s+|\n")
 _SENTENCE = re.compile(r"(?<=[.!?…])\s+|\n|</?[a-z]\w*[^<>]*>|\s\|\s")
 _WORD = re.compile(r"⟦slot⟧|[^\W_]+")
 _HEX = re.compile(r"[a-f]{4,}")
@@ -51,13 +56,16 @@ _HEX = re.compile(r"[a-f]{4,}")
 
 def words(text: str) -> list[str]:
     """Words of a window in small letters; numbers and references (runs with a digit, or of hexadecimal letters only) are left out."""
-    return [w for w in _WORD.findall(text.casefold()) if not any(map(str.isdigit, w)) and not _HEX.fullmatch(w)]
+    return [w for w in _WORD.findall(text.casefold()) if w.isalpha() and not (w[0] < "g" and _HEX.fullmatch(w)) or w == SLOT]
 
 
 def prose(text: str) -> str:
     """A text without code, inline code and quotations; placeholders outside them become slots."""
-    text = unicodedata.normalize("NFC", text).replace("\r\n", "\n")
-    text = _FENCE.sub("\n", text)
+    if not text.isascii():
+        text = unicodedata.normalize("NFC", text)
+    text = text.replace("\r\n", "\n")
+    if "```" in text or "~~~" in text:
+        text = _FENCE.sub("\n", text)
     kept = []
     for block in re.split(r"\n[ \t]*\n", text):
         lines = [x for x in block.split("\n") if x.strip() and not x.lstrip().startswith(">")]
@@ -66,15 +74,18 @@ def prose(text: str) -> str:
         if all(x[0] in " \t" for x in lines) or len(lines) > 1 and 2 * sum(bool(_CODE_LINE.search(x)) for x in lines) > len(lines) or len(lines) == 1 and "{%" in lines[0]:
             continue
         kept.append("\n".join(lines))
-    text = _INLINE.sub(" ", "\n\n".join(kept))
+    text = "\n\n".join(kept)
+    if "`" in text:
+        text = _INLINE.sub(" ", text)
     if not (text.startswith("{") and text.endswith("}")):  # the members of a bare JSON object aren't quotations
-        text = _QUOTED.sub(" ", text)
-    return _PLACEHOLDER.sub(f" {SLOT} ", text)
+        text = _QUOTED.sub(" ", text) if _QUOTE.search(text) else text
+    return _PLACEHOLDER.sub(f" {SLOT} ", text) if _OPENING.search(text) else text
 
 
 def windows(text: str) -> Iterator[list[str]]:
     """Passage windows of a text as lists of words."""
-    for sentence in _SENTENCE.split(prose(text)):
+    text = prose(text)
+    for sentence in (_SENTENCE if "<" in text or "|" in text else _PLAIN_SENTENCE).split(text):
         found = words(sentence or "")
         if found:
             yield found
@@ -91,7 +102,7 @@ class ResidueIndex:
     """Inverted index of the exemplars, with weights from document frequencies."""
 
     def __init__(self, n: int, counts: list[int], phrases=PHRASES, vocabularies=VOCABULARIES, mashes=MASHES, genuine=GENUINE):
-        self.n, self.counts = n, counts
+        self.n, self.counts, self._weights = n, counts, {}
         kinds = [(kind, text) for kind, texts in (("phrase", phrases), ("vocabulary", vocabularies), ("mash", mashes), ("genuine", genuine)) for text in texts]
         self.exemplars = [(kind, frozenset(words(text))) for kind, text in kinds]
         self.exemplars = [(k, w) for k, w in self.exemplars if w]
@@ -102,22 +113,30 @@ class ResidueIndex:
                 self.index.setdefault(w, []).append(i)
 
     def weight(self, word: str) -> float:
+        """Inverse document frequency; the words met most recently are remembered."""
+        known = self._weights.get(word)
+        if known is None:
+            if len(self._weights) > REMEMBERED:
+                self._weights.clear()
+            known = self._weights[word] = self._weight(word)
+        return known
+
+    def _weight(self, word: str) -> float:
         return 0.1 + log((self.n + 1) / (self.counts[slot_of(word)] + 1)) if word != SLOT else 1.0 + log(self.n + 1)
 
     def score(self, window: list[str]) -> float:
         """Coverage of a window by residue, 0 if genuine talk covers it better."""
         ws = set(window)
-        hits = [w for w in ws if w in self.index]
+        hits = ws & self.index.keys()
         if not hits:
             return 0.0
         weight = {w: self.weight(w) for w in ws}
         total = sum(weight.values())
         shared: dict[int, float] = {}
-        number: dict[int, int] = {}
         for w in hits:
+            x = weight[w]
             for i in self.index[w]:
-                shared[i] = shared.get(i, 0.0) + weight[w]
-                number[i] = number.get(i, 0) + 1
+                shared[i] = shared.get(i, 0.0) + x
         best, genuine = 0.0, 0.0
         for i, s in shared.items():
             kind = self.exemplars[i][0]
@@ -127,7 +146,7 @@ class ResidueIndex:
                 if len(window) > 1:
                     best = max(best, s / total)
             elif kind == "vocabulary":
-                if number[i] >= FILLER_WORDS:
+                if len(ws & self.exemplars[i][1]) >= FILLER_WORDS:
                     best = max(best, s / total)
             elif kind == "phrase" and s >= PRESENT * self.sums[i]:
                 best = max(best, s / total)
@@ -150,8 +169,9 @@ def _count(batches):
         for text in batch.column(0).to_pylist():
             if text:
                 n += 1
-                seen = {w for window in windows(text) for w in window}
-                counts[np.fromiter({slot_of(w) for w in seen}, np.int64)] += 1
+                seen = set(_WORD.findall(text.casefold()))
+                if seen:
+                    counts[np.fromiter({slot_of(w) for w in seen}, np.int64)] += 1
     at = np.flatnonzero(counts)
     yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(counts[at], n))], ["slot", "n"])
 
