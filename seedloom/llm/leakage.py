@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from itertools import chain, repeat
 from math import log
 
 from pyspark.sql import DataFrame
@@ -37,12 +38,28 @@ PARAPHRASE, ANSWERS = 0.6, 0.5
 NEAR = 0.6
 #: Fewest words that a passage and an item can share.
 LEAST_SHARED = 10
+#: Passages that are projected at a time.
+ROWS = 2000
 #: The vocabulary of the held-out items, which every task holds, can't be larger.
 MOST_TERMS = 200_000
 
 _WORD = re.compile(r"[^\W_]+")
 
 
+def one_thread() -> None:
+    """Keeps NumPy's linear algebra of this worker to one thread; a task has one core."""
+    import ctypes
+    from pathlib import Path
+
+    import numpy  # noqa: F401 - its library has to be loaded
+
+    maps = Path("/proc/self/maps")
+    for library in {x.split()[-1] for x in maps.read_text().splitlines() if "openblas" in x} if maps.exists() else ():
+        for name in ("scipy_openblas_set_num_threads64_", "scipy_openblas_set_num_threads", "openblas_set_num_threads64_", "openblas_set_num_threads"):
+            if call := getattr(ctypes.CDLL(library), name, None):
+                call(1)
+
+
 def words(text: str | None) -> list[str]:
     """Longest runs of letters and digits, in folded case."""
     if not text:
@@ -74,8 +91,7 @@ class HeldOut:
         """Term numbers of a word list, -1 for other words, as an array."""
         import numpy as np
 
-        get = self.terms.get
-        return np.fromiter((get(w, -1) for w in found), np.int32, len(found))
+        return np.fromiter(map(self.terms.get, found, repeat(-1)), np.int32, len(found))
 
     def vectors(self, passages: list[list[str]], idf):
         import numpy as np
@@ -86,21 +102,30 @@ class HeldOut:
         return out * idf
 
 
-def _passages(codes):
-    """Starts of a document's passages that have enough known words, and the known words of each passage as a matrix row."""
+def _passages(texts: list[str | None], held: HeldOut):
+    """Passages of a batch of texts: (words of each text, text of each passage, its start, its term numbers).
+
+    A passage has WORDS columns, filled up with -1; a text without words has none.
+    """
     import numpy as np
 
-    n = len(codes)
-    if n <= WORDS:
-        starts = np.zeros(1, np.int64)
-        block = np.full((1, WORDS), -1, np.int32)
-        block[0, :n] = codes
-    else:
-        starts = np.arange(0, n - WORDS + STEP, STEP)
-        padded = np.full(starts[-1] + WORDS, -1, np.int32)
-        padded[:n] = codes
-        block = np.lib.stride_tricks.sliding_window_view(padded, WORDS)[starts]
-    return starts, block
+    found = [words(t) for t in texts]
+    n = np.fromiter(map(len, found), np.int64, len(found))
+    passages = np.where(n <= WORDS, np.minimum(n, 1), -(-(n - WORDS) // STEP) + 1)
+    room = np.where(passages > 0, (passages - 1) * STEP + WORDS, 0)  # padded length of each text
+    begin = np.cumsum(room) - room
+    padded = np.full(int(room.sum()) + 1, -1, np.int32)
+    padded[np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))] = held.codes(list(chain.from_iterable(found)))
+    text = np.repeat(np.arange(len(found)), passages)
+    start = (np.arange(len(text)) - np.repeat(np.cumsum(passages) - passages, passages)) * STEP
+    return found, text, start, padded[(begin[text] + start)[:, None] + np.arange(WORDS)]
+
+
+def _known(texts: list[str | None], held: HeldOut):
+    """The same without passages that have too few words of the held-out items' vocabulary."""
+    found, text, start, block = _passages(texts, held)
+    enough = (block >= 0).sum(axis=1) >= LEAST_SHARED
+    return found, text[enough], start[enough], block[enough]
 
 
 def _tfidf(block, idf):
@@ -113,19 +138,6 @@ def _tfidf(block, idf):
     return out[:, :-1] * idf
 
 
-def _blocks(texts, held: HeldOut):
-    """(document number, words, codes, starts, block) of each text with passages of enough known words."""
-    for d, text in enumerate(texts):
-        found = words(text)
-        if len(found) < LEAST_SHARED:
-            yield d, found, None, None, None
-            continue
-        codes = held.codes(found)
-        starts, block = _passages(codes)
-        enough = (block >= 0).sum(axis=1) >= LEAST_SHARED
-        yield d, found, codes, starts[enough], block[enough]
-
-
 def _frequencies(held: HeldOut):
     def run(batches):
         import numpy as np
@@ -133,15 +145,12 @@ def _frequencies(held: HeldOut):
 
         counts, n = np.zeros(len(held.terms) + 1, np.int64), 0
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                codes = held.codes(words(text))
-                if len(codes):
-                    _, block = _passages(codes)
-                    n += len(block)
-                    ordered = np.sort(block, axis=1)
-                    new = np.ones(ordered.shape, bool)
-                    new[:, 1:] = ordered[:, 1:] != ordered[:, :-1]
-                    counts += np.bincount(ordered[new] + 1, minlength=len(counts))
+            _, _, _, block = _passages(batch.column(0).to_pylist(), held)
+            n += len(block)
+            ordered = np.sort(block, axis=1)
+            new = np.ones(ordered.shape, bool)
+            new[:, 1:] = ordered[:, 1:] != ordered[:, :-1]
+            counts += np.bincount(ordered[new] + 1, minlength=len(counts))
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(counts)) - 1), pa.array(np.append(n, counts[1:]))], ["term", "n"])
 
     return run
@@ -152,24 +161,14 @@ def _sketch(held: HeldOut, idf, omega):
         import numpy as np
         import pyarrow as pa
 
+        one_thread()
         total, n = np.zeros(omega.shape), 0
-        waiting: list = []
-
-        def add():
-            nonlocal n
-            if waiting:
-                a = _tfidf(np.concatenate(waiting), idf)
-                total[:] += a.T @ (a @ omega)
-                n += len(a)
-                waiting.clear()
-
         for batch in batches:
-            for _, _, _, starts, block in _blocks(batch.column(0).to_pylist(), held):
-                if starts is not None and len(starts):
-                    waiting.append(block)
-                    if sum(map(len, waiting)) > 2000:
-                        add()
-        add()
+            _, _, _, block = _known(batch.column(0).to_pylist(), held)
+            n += len(block)
+            for k in range(0, len(block), ROWS):
+                a = _tfidf(block[k : k + ROWS], idf)
+                total[:] += a.T @ (a @ omega)
         d, width = omega.shape
         for k in range(0, d if n else 0, 500):  # rows of the sketch, a few at a time
             part = total[k : k + 500]
@@ -250,6 +249,7 @@ def _search(held: HeldOut, idf, basis, cosine: float):
         import numpy as np
         import pyarrow as pa
 
+        one_thread()
         queries = held.vectors([p for _, p in held.passages], idf) @ basis
         queries /= np.maximum(np.linalg.norm(queries, axis=1, keepdims=True), 1e-9)
         owners = np.array([i for i, _ in held.passages])
@@ -258,25 +258,17 @@ def _search(held: HeldOut, idf, basis, cosine: float):
         bounds = np.append(np.searchsorted(np.sort(owners), order), len(owners))
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            docs, blocks, kept = [], [], {}
-            for d, found, _, starts, block in _blocks(texts, held):
-                if starts is not None and len(starts):
-                    kept[d] = found
-                    docs.append(np.full(len(starts), d))
-                    blocks.append(np.column_stack([starts, block]))
-            rows = []
-            if docs:
-                docs, blocks = np.concatenate(docs), np.concatenate(blocks)
-                best: dict[tuple[int, int], tuple[float, int]] = {}
-                for k in range(0, len(docs), 2000):
-                    z = _tfidf(blocks[k : k + 2000, 1:], idf) @ basis
-                    z /= np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-9)
-                    near = np.maximum.reduceat(z @ queries, bounds[:-1], axis=1)
-                    for r, c in np.argwhere(near >= cosine).tolist():
-                        key = (int(docs[k + r]), int(order[c]))
-                        if near[r, c] > best.get(key, (-1.0, 0))[0]:
-                            best[key] = (float(near[r, c]), int(blocks[k + r, 0]))
-                rows = [row for key, (cos, start) in sorted(best.items()) if (row := _checked(held, kept[key[0]], *key, cos, start))]
+            found, docs, starts, block = _known(texts, held)
+            best: dict[tuple[int, int], tuple[float, int]] = {}
+            for k in range(0, len(docs), ROWS):
+                z = _tfidf(block[k : k + ROWS], idf) @ basis
+                z /= np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-9)
+                near = np.maximum.reduceat(z @ queries, bounds[:-1], axis=1)
+                for r, c in np.argwhere(near >= cosine).tolist():
+                    key = (int(docs[k + r]), int(order[c]))
+                    if near[r, c] > best.get(key, (-1.0, 0))[0]:
+                        best[key] = (float(near[r, c]), int(starts[k + r]))
+            rows = [row for key, (cos, start) in sorted(best.items()) if (row := _checked(held, found[key[0]], *key, cos, start))]
             columns = list(zip(*rows, strict=True)) or [[] for _ in range(7)]
             ids = batch.column(0).take(pa.array(columns[0], pa.int64()))
             yield pa.RecordBatch.from_arrays([ids, *[pa.array(c, t) for c, t in zip(columns[1:], (pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.float64(), pa.string()), strict=True)]], ["id", "item_id", "cosine", "run", "common", "answers", "kind"])
