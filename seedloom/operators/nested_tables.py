@@ -21,22 +21,19 @@ from seedloom.functions.json_text import pair_sql, strict_json
 LEVELS = 20
 
 _NODE = "named_struct('path', {path}, 'parent', {parent}, 'position', {position}, 'v', {v})"
+_FOUND = "array<struct<path:string,parent_path:string,position:int,object:string>>"
 
 
 def _next_level(nodes: str) -> str:
-    elements = _NODE.format(path="concat(x.path, '[', i, ']')", parent="x.owner", position="i", v="e")
-    members = _NODE.format(path="concat(x.path, '.', m.key)", parent="x.owner", position="cast(null as int)", v="m.value")
+    """SQL for the nodes below ``nodes``; a node's parent is the nearest object above it."""
+    element = _NODE.format(path="concat(x.path, '[', i, ']')", parent="x.parent", position="i", v="e")
+    member = _NODE.format(path="concat(x.path, '.', m.key)", parent="x.path", position="cast(null as int)", v="m.value")
     inner = _NODE.format(path="x.path", parent="x.parent", position="x.position", v="p[0]")
     text = "try_variant_get(x.v, '$', 'string')"
-    # x.owner: the nearest object on the way down, the node itself if it is one
-    owned = (
-        f"transform({nodes}, n -> named_struct('path', n.path, 'parent', n.parent, 'position', n.position, 'v', n.v,"
-        " 'owner', if(try_variant_get(n.v, '$', 'map<string,variant>') is null, n.parent, n.path)))"
-    )
     return (
-        f"flatten(transform({owned}, x -> coalesce("
-        f"transform(try_variant_get(x.v, '$', 'array<variant>'), (e, i) -> {elements}),"
-        f"transform(map_entries(try_variant_get(x.v, '$', 'map<string,variant>')), m -> {members}),"
+        f"flatten(transform({nodes}, x -> coalesce("
+        f"transform(try_variant_get(x.v, '$', 'array<variant>'), (e, i) -> {element}),"
+        f"transform(map_entries(try_variant_get(x.v, '$', 'map<string,variant>')), m -> {member}),"
         f"if({text} rlike '^\\\\s*[\\\\[{{\"]', transform(filter(array({pair_sql(text)}), p -> size(p) = 2), p -> {inner}), null),"
         f"array())))"
     )
@@ -79,11 +76,11 @@ def _deeper(past: int):
     return run
 
 
-def nested_objects(df: DataFrame, id: str = "id", value: str = "value", levels: int = LEVELS) -> DataFrame:
+def nested_objects(df: DataFrame, id: str = "id", value: str = "value", levels: int = LEVELS, objects: bool = True) -> DataFrame:
     """Every object that is an element of an array anywhere in JSON text ``value``.
 
     Columns: id, path (``value.a[0].b[2]``), parent_path (of the nearest object above, NULL if there is none),
-    position (from 0), object (canonical JSON). A JSON string that holds JSON counts as that JSON. NULL, blank and
+    position (from 0), object (canonical JSON; NULL without ``objects``). A JSON string that holds JSON counts as that JSON. NULL, blank and
     unreadable text, also text with repeated member names in one object, have no children. Repeated input rows give
     repeated output rows; other columns of ``df`` are left out, so that their names can't clash. An empty input
     gives no rows.
@@ -91,15 +88,13 @@ def nested_objects(df: DataFrame, id: str = "id", value: str = "value", levels:
     base = df.select(F.col(id).cast("string").alias("id"), F.col(value).alias("t")).where("(t like '%{%' and t like '%[%') or instr(t, '\\\\u') > 0")
     nodes = base.withColumn("v", strict_json("t"))
     root = _NODE.format(path="'value'", parent="cast(null as string)", position="cast(null as int)", v="v")
-    nodes = nodes.where("v is not null").select("id", F.expr(f"array({root})").alias("n0"))
-    for k in range(levels):
-        nodes = nodes.withColumn(f"n{k + 1}", F.expr(_next_level(f"n{k}")))
-    found = ", ".join(
-        f"filter(n{k}, n -> n.position is not null and try_variant_get(n.v, '$', 'map<string,variant>') is not null)"
-        for k in range(1, levels + 1)
-    )
-    rows = f"transform(flatten(array({found})), n -> named_struct('path', n.path, 'parent_path', n.parent, 'position', n.position, 'object', to_json(n.v)))"
-    flat = nodes.select("id", F.expr(rows).alias("rows")).selectExpr("id", "inline(rows)")
+    state = nodes.where("v is not null").select("id", F.expr(f"array({root})").alias("nodes"), F.array().cast(_FOUND).alias("found"))
+    text = "to_json(n.v)" if objects else "cast(null as string)"
+    met = f"transform(filter(nodes, n -> n.position is not null and try_variant_get(n.v, '$', 'map<string,variant>') is not null), n -> named_struct('path', n.path, 'parent_path', n.parent, 'position', n.position, 'object', {text}))"
+    for _ in range(levels):  # only the level at hand and what was found are carried on
+        state = state.select("id", F.expr(_next_level("nodes")).alias("nodes"), "found")
+        state = state.select("id", "nodes", F.expr(f"concat(found, {met})").alias("found"))
+    flat = state.selectExpr("id", "inline(found)")
     # Only text with more opening brackets than levels can nest deeper; those rows are looked at once more.
     opening = F.expr("length(t) - length(translate(t, '[{', ''))")
     deep = base.where(opening > levels).mapInArrow(_deeper(levels), "id string, path string, parent_path string, position int, object string")
@@ -121,10 +116,10 @@ def member_rows(df: DataFrame, member: str, id: str = "id") -> DataFrame:
     return df.select(F.col(id).cast("string").alias("id"), F.lit(member).alias("path"), F.col(member).alias("element")).where("element is not null")
 
 
-def flat_tables(assertions: DataFrame, evidence: DataFrame) -> dict[str, DataFrame]:
+def flat_tables(assertions: DataFrame, evidence: DataFrame, objects: bool = True) -> dict[str, DataFrame]:
     """The related flat tables of assertions and evidence references, each with the parent's id, a path and a position."""
     return {
-        "assertion_objects": nested_objects(assertions),
+        "assertion_objects": nested_objects(assertions, objects=objects),
         "assertion_geographic_contexts": list_elements(assertions, "context.geographicContextIds", "context.geographicContextIds"),
         "evidence_licences": member_rows(evidence, "rights.licenceId"),
     }
@@ -132,7 +127,7 @@ def flat_tables(assertions: DataFrame, evidence: DataFrame) -> dict[str, DataFra
 
 def flat_paths(assertions: DataFrame, evidence: DataFrame) -> DataFrame:
     """Distinct table_name, id, path over all flat tables: the index that links every child to its parent."""
-    tables = flat_tables(assertions, evidence)
+    tables = flat_tables(assertions, evidence, objects=False)
     return (
         tables["assertion_objects"].select(F.lit("assertions").alias("table_name"), "id", "path")
         .unionByName(tables["assertion_geographic_contexts"].select(F.lit("assertions").alias("table_name"), "id", "path"))
