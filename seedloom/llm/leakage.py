@@ -87,6 +87,15 @@ class HeldOut:
             for k in range(len(w) - RUN + 1):
                 self.runs.setdefault(tuple(w[k : k + RUN]), set()).add(i)
 
+    def shared_runs(self, found: list[str]) -> set[int]:
+        """Items that share a run of RUN words with a text; only runs of the items' own words are looked up."""
+        terms, runs, out, length = self.terms, self.runs, set(), 0
+        for k, w in enumerate(found):
+            length = length + 1 if w in terms else 0
+            if length >= RUN:
+                out |= runs.get(tuple(found[k - RUN + 1 : k + 1]), set())
+        return out
+
     def codes(self, found: list[str]):
         """Term numbers of a word list, -1 for other words, as an array."""
         import numpy as np
@@ -268,7 +277,12 @@ def _search(held: HeldOut, idf, basis, cosine: float):
                     key = (int(docs[k + r]), int(order[c]))
                     if near[r, c] > best.get(key, (-1.0, 0))[0]:
                         best[key] = (float(near[r, c]), int(starts[k + r]))
-            rows = [row for key, (cos, start) in sorted(best.items()) if (row := _checked(held, found[key[0]], *key, cos, start))]
+            rows, before, whole = [], -1, set()
+            for (d, item), (cos, start) in sorted(best.items()):
+                if d != before:  # a document's candidates come one after the other
+                    before, whole = d, held.shared_runs(found[d])
+                if row := _checked(held, found[d], d, item, cos, start, item in whole):
+                    rows.append(row)
             columns = list(zip(*rows, strict=True)) or [[] for _ in range(7)]
             ids = batch.column(0).take(pa.array(columns[0], pa.int64()))
             yield pa.RecordBatch.from_arrays([ids, *[pa.array(c, t) for c, t in zip(columns[1:], (pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.float64(), pa.string()), strict=True)]], ["id", "item_id", "cosine", "run", "common", "answers", "kind"])
@@ -276,20 +290,22 @@ def _search(held: HeldOut, idf, basis, cosine: float):
     return run
 
 
-def _checked(held: HeldOut, found: list[str], d: int, item: int, cosine: float, start: int):
+def _checked(held: HeldOut, found: list[str], d: int, item: int, cosine: float, start: int, verbatim: bool):
     """A candidate's row if it is a verbatim leak or a paraphrase."""
     wanted = held.items[item]
-    get = held.runs.get
-    verbatim = any(item in get(tuple(found[k : k + RUN]), ()) for k in range(len(found) - RUN + 1))
     if not verbatim and cosine < NEAR:
         return None
     near = found[max(0, start - len(wanted)) : start + WORDS + len(wanted)]
-    common = common_subsequence(wanted, near)
+    here = set(near)
     answers = held.answers[item]
-    share = len(answers & set(near)) / len(answers) if answers else 1.0
+    share = len(answers & here) / len(answers) if answers else 1.0
+    # A paraphrase needs its answers, and a common subsequence can't be longer than the words that are there at all.
+    if not verbatim and (share < ANSWERS or sum(w in here for w in wanted) < PARAPHRASE * len(wanted)):
+        return None
+    common = common_subsequence(wanted, near)
     if verbatim:
         return d, item, cosine, longest_run(found, wanted), common, share, "verbatim"
-    if common >= PARAPHRASE * len(wanted) and share >= ANSWERS:
+    if common >= PARAPHRASE * len(wanted):
         return d, item, cosine, longest_run(near, wanted), common, share, "paraphrase"
     return None
 
