@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seedloom.functions.json_text import pair_sql, strict_json_sql
+from seedloom.functions.json_text import pair_sql
 from seedloom.plans.lineage import written
 
 # Words that only say that nothing is known or recorded.
@@ -69,11 +69,11 @@ def _edge(v: str, *names: str) -> str:
 
 
 def typed_cells(assertions: DataFrame, registry: DataFrame, subject: str = "subjectId", predicate: str = "predicate", value: str = "value", order: tuple[str, ...] = ()) -> DataFrame:
-    """Assertions that fill a cell: subject, predicate (the registry's spelling), value_type, cell, rank.
+    """Assertions with what they fill: subject, predicate (the registry's spelling), value_type, cell, rank.
 
     ``cell`` is a struct with one member per value type, all but the fitting one NULL; ``rank`` orders the cells of one
-    subject and predicate (by ``order``, then the value's text). Rows without subject or with a predicate outside
-    the registry, NULL, blank and unreadable values and remarks fill nothing. An alias that names two predicates
+    subject and predicate (by ``order``, then the value's text). Rows without subject or value or with a predicate outside
+    the registry are left out; blank and unreadable values and remarks fill nothing: their cell and rank are NULL. An alias that names two predicates
     counts for each.
     """
     names = registry.select(F.col("predicate").alias("column"), F.col("value_type"), F.explode(F.array_distinct(F.transform(F.concat(F.array("predicate"), F.coalesce(F.col("aliases"), F.array().cast("array<string>"))), spelling))).alias("key"))
@@ -81,10 +81,13 @@ def typed_cells(assertions: DataFrame, registry: DataFrame, subject: str = "subj
     rows = assertions.select(F.col(subject).cast("string").alias("subject"), spelling(F.col(predicate)).alias("key"), F.col(value).alias("t"), rank.alias("rank"))
     rows = rows.where("subject is not null and key is not null and t is not null")
     rows = rows.join(F.broadcast(names), "key").drop("key")  # at most MOST_PREDICATES rows, see registry_columns
-    rows = rows.withColumn("v0", F.expr(strict_json_sql("t"))).where("v0 is not null")
+    # The pair of a strictly parsed value is a column of its own, so that no lambda keeps these steps out of generated code.
+    rows = rows.withColumn("pair", F.expr(pair_sql("t")))
+    rows = rows.withColumn("v0", F.expr("if(size(pair) = 2, pair[0], null)")).drop("pair")
     text = "try_variant_get(v0, '$', 'string')"
-    inner = f"get(transform(filter(array({pair_sql(text)}), p -> size(p) = 2), p -> p[0]), 0)"
-    rows = rows.withColumn("v1", F.expr(f"if(schema_of_variant(v0) = 'STRING' and {text} rlike '^\\\\s*[\\\\[{{\"]', coalesce({inner}, v0), v0)"))
+    rows = rows.withColumn("text", F.expr(f"if(ltrim(t) like '\"%', {text}, null)"))
+    rows = rows.withColumn("pair", F.expr(f"if(text rlike '^\\\\s*[\\\\[{{\"]', {pair_sql('text')}, null)"))
+    rows = rows.withColumn("v1", F.expr("if(size(pair) = 2, pair[0], v0)")).drop("pair", "text")
     rows = rows.withColumn("v2", F.expr("if(value_type <> 'record', coalesce(try_variant_get(v1, '$.value', 'variant'), v1), v1)"))
     rows = rows.withColumn("kind", F.expr("regexp_extract(schema_of_variant(v2), '^[A-Z]+', 0)"))
     rows = rows.withColumn("s", F.expr("if(kind in ('OBJECT', 'ARRAY', 'VOID'), null, trim(try_variant_get(v2, '$', 'string')))"))
@@ -97,6 +100,12 @@ def typed_cells(assertions: DataFrame, registry: DataFrame, subject: str = "subj
     part = [f"try_cast(regexp_extract(s, '{window}', {k}) as int)" for k in (1, 2, 3, 4)]
     begin = F.expr(f"case kind when 'OBJECT' then {_edge('v2', 'from', 'start')} when 'STRING' then {_month_day(part[0], part[1])} end")
     end = F.expr(f"case kind when 'OBJECT' then {_edge('v2', 'to', 'end')} when 'STRING' then {_month_day(part[2], part[3])} end")
+
+    def bounds(one: str, low: Column, other: str, high: Column) -> Column:
+        """A struct of two bounds unless both are NULL; each is computed once."""
+        both = F.struct(low.alias(one), high.alias(other))
+        return F.get(F.filter(F.array(both), lambda b: b[one].isNotNull() | b[other].isNotNull()), F.lit(0))
+
     is_a = lambda t: F.col("value_type") == t
     rows = rows.select(
         "subject", "column", "value_type", "rank",
@@ -104,12 +113,13 @@ def typed_cells(assertions: DataFrame, registry: DataFrame, subject: str = "subj
         F.when(is_a("integer") & ~nothing & (number == F.floor(number)), number.try_cast("bigint")).alias("integer"),
         F.when(is_a("boolean") & F.col("kind").isin("BOOLEAN", "STRING"), F.when(F.lower("s").isin(YES), True).when(F.lower("s").isin(NO), False)).alias("boolean"),
         F.when(is_a("text") & ~nothing & (F.col("kind") == "STRING"), F.col("s")).alias("text"),
-        F.when(is_a("range"), F.when(low.isNotNull() | high.isNotNull(), F.struct(low.alias("min"), high.alias("max")))).alias("range"),
-        F.when(is_a("window"), F.when(begin.isNotNull() | end.isNotNull(), F.struct(begin.alias("from"), end.alias("to")))).alias("window"),
+        F.when(is_a("range"), bounds("min", low, "max", high)).alias("range"),
+        F.when(is_a("window"), bounds("from", begin, "to", end)).alias("window"),
         F.when(is_a("record") & F.expr("(kind = 'OBJECT' and cardinality(try_variant_get(v1, '$', 'map<string,variant>')) > 0) or (kind = 'ARRAY' and cardinality(try_variant_get(v1, '$', 'array<variant>')) > 0)"), F.expr("to_json(v1)")).alias("record"),
     )
     filled = reduce(lambda a, b: a | b, [F.col(t).isNotNull() for t in COLUMN_TYPES])
-    return rows.where(filled).select("subject", F.col("column").alias("predicate"), "value_type", F.struct(*COLUMN_TYPES).alias("cell"), "rank")
+    # No filter here: it would be pushed below the projections and all of them computed twice.
+    return rows.select("subject", F.col("column").alias("predicate"), "value_type", F.when(filled, F.struct(*COLUMN_TYPES)).alias("cell"), F.when(filled, F.col("rank")).alias("rank"))
 
 
 def registry_columns(registry: DataFrame) -> dict[str, str]:
@@ -128,7 +138,7 @@ def registry_columns(registry: DataFrame) -> dict[str, str]:
 
 def characteristic_sets(cells: DataFrame) -> DataFrame:
     """One row per subject: subject, signature (sorted predicates, joined by line ends), cells (map by predicate)."""
-    one = cells.groupBy("subject", "predicate").agg(F.min_by("cell", "rank").alias("cell"))
+    one = cells.groupBy("subject", "predicate").agg(F.min_by("cell", "rank").alias("cell")).where("cell is not null")
     sets = one.groupBy("subject").agg(F.map_from_entries(F.collect_list(F.struct("predicate", "cell"))).alias("cells"))  # at most one entry per predicate
     return sets.withColumn("signature", F.concat_ws("\n", F.array_sort(F.map_keys("cells"))))
 
