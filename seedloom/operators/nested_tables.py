@@ -88,13 +88,14 @@ def nested_objects(df: DataFrame, id: str = "id", value: str = "value", levels:
     base = df.select(F.col(id).cast("string").alias("id"), F.col(value).alias("t")).where("(t like '%{%' and t like '%[%') or instr(t, '\\\\u') > 0")
     nodes = base.withColumn("v", strict_json("t"))
     root = _NODE.format(path="'value'", parent="cast(null as string)", position="cast(null as int)", v="v")
-    state = nodes.where("v is not null").select("id", F.expr(f"array({root})").alias("nodes"), F.array().cast(_FOUND).alias("found"))
+    state = nodes.select("id", F.expr(f"array({root})").alias("nodes"), F.array().cast(_FOUND).alias("found"))
     text = "to_json(n.v)" if objects else "cast(null as string)"
     met = f"transform(filter(nodes, n -> n.position is not null and try_variant_get(n.v, '$', 'map<string,variant>') is not null), n -> named_struct('path', n.path, 'parent_path', n.parent, 'position', n.position, 'object', {text}))"
     for _ in range(levels):  # only the level at hand and what was found are carried on
         state = state.select("id", F.expr(_next_level("nodes")).alias("nodes"), "found")
         state = state.select("id", "nodes", F.expr(f"concat(found, {met})").alias("found"))
-    flat = state.selectExpr("id", "inline(found)")
+    # The outer form: for the plain one a filter on the found rows is pushed down, and all levels are computed twice.
+    flat = state.selectExpr("id", "inline_outer(found)").where("path is not null")
     # Only text with more opening brackets than levels can nest deeper; those rows are looked at once more.
     opening = F.expr("length(t) - length(translate(t, '[{', ''))")
     deep = base.where(opening > levels).mapInArrow(_deeper(levels), "id string, path string, parent_path string, position int, object string")
@@ -108,7 +109,7 @@ def list_elements(df: DataFrame, elements: str | Column, path: str, id: str = "i
         F.transform(column, lambda e, i: F.struct(F.concat(F.lit(f"{path}["), i.cast("string"), F.lit("]")).alias("path"), i.alias("position"), e.alias("element"))),
         lambda r: r["element"].isNotNull(),
     )
-    return df.select(F.col(id).cast("string").alias("id"), rows.alias("rows")).select("id", F.inline("rows"))
+    return df.select(F.col(id).cast("string").alias("id"), rows.alias("rows")).select("id", F.inline_outer("rows")).where("path is not null")
 
 
 def member_rows(df: DataFrame, member: str, id: str = "id") -> DataFrame:
