@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seedloom.functions.canonical_json import checked_json
+from seedloom.functions.canonical_json import canonical_json, checked_json
 from seedloom.functions.columns import language_tag, sha256_hex
 from seedloom.functions.json_text import canonical_text, strict_json
 from seedloom.operators import integrity, reports
@@ -403,6 +403,16 @@ def coverage_report(spark, sf):
     return reports.coverage(read_table(spark, sf, "localized_names"), metrics, ["kind"])
 
 
+_IN_CONTEXT = ["subjectType", "subjectId", "predicate", "geo", "growingSystem", "propagation"]
+
+
+def _said_in_context(spark, sf) -> DataFrame:
+    """Values of assertions with what they are said of and the parts of their context."""
+    rows = read_table(spark, sf, "assertions", "subjectType", "subjectId", "predicate", "value", "context")
+    geo = F.array_join(F.array_sort(F.array_compact("context.geographicContextIds")), ",")
+    return rows.select("subjectType", "subjectId", "predicate", geo.alias("geo"), F.col("context.growingSystem").alias("growingSystem"), F.col("context.propagation").alias("propagation"), "value")
+
+
 _GROUP = "subjectType, subjectId, predicate, array_to_string(list_sort(context.geographicContextIds), ','), context.growingSystem, context.propagation"
 
 
@@ -413,12 +423,19 @@ SELECT subjectType, subjectId, predicate, geo, growingSystem, propagation, count
 GROUP BY ALL HAVING count(DISTINCT value) > 1
 """)
 def contradiction_report(spark, sf):
-    """Subjects with different plain values (text, whole numbers, yes and no) for one predicate and context."""
-    rows = read_table(spark, sf, "assertions", "subjectType", "subjectId", "predicate", "value", "context").withColumn("v", strict_json("value"))
+    """Subjects with different plain values (text, whole numbers, yes and no) for one predicate and context.
+
+    This is the part of ``contradiction_report_whole`` that its SQL can express.
+    """
+    rows = _said_in_context(spark, sf).withColumn("v", strict_json("value"))
     rows = rows.where(F.schema_of_variant("v").isin("STRING", "BIGINT", "BOOLEAN", "VOID") & ~F.col("value").rlike(r"^\s*-?\d+[.eE]"))
-    geo = F.array_join(F.array_sort(F.array_compact("context.geographicContextIds")), ",")
-    rows = rows.select("subjectType", "subjectId", "predicate", geo.alias("geo"), F.col("context.growingSystem").alias("growingSystem"), F.col("context.propagation").alias("propagation"), canonical_text("value").alias("c"))
-    return reports.contradictions(rows, ["subjectType", "subjectId", "predicate", "geo", "growingSystem", "propagation"], F.col("c"))
+    return reports.contradictions(rows.withColumn("c", canonical_text("value")), _IN_CONTEXT, F.col("c"))
+
+
+@query()
+def contradiction_report_whole(spark, sf):
+    """Subjects with different values of any shape for one predicate and context, by the values' canonical JSON."""
+    return reports.contradictions(_said_in_context(spark, sf).withColumn("c", canonical_json("value")), _IN_CONTEXT, F.col("c"))
 
 
 @query("SELECT subjectId, languageTag, count(*) FILTER (WHERE preferred) AS n FROM localized_names GROUP BY 1, 2 HAVING count(*) FILTER (WHERE preferred) > 1")
