@@ -363,13 +363,29 @@ SELECT side, id, status, taxonId FROM (
   (SELECT 'second' AS side, * FROM (SELECT id, status, taxonId FROM plant_concept_snapshots WHERE snapshot_date = (SELECT max(snapshot_date) FROM plant_concept_snapshots) EXCEPT ALL SELECT id, status, taxonId FROM plant_concept_snapshots WHERE snapshot_date = (SELECT min(snapshot_date) FROM plant_concept_snapshots))))
 """)
 def build_compare(spark, sf):
-    """Rows that only the first or only the last snapshot has."""
-    rows = read_table(spark, sf, "plant_concept_snapshots", "snapshot_date", "id", "status", "taxonId")
+    """Rows that only the first or only the last snapshot has, by status and taxon alone; ``build_compare_whole`` has all columns."""
+    return _compare_ends(read_table(spark, sf, "plant_concept_snapshots", "snapshot_date", "id", "status", "taxonId"))
+
+
+def _compare_ends(rows: DataFrame) -> DataFrame:
     ends = rows.agg(F.min("snapshot_date").alias("a"), F.max("snapshot_date").alias("b")).first()
     pick = lambda day: rows.where(F.col("snapshot_date") == F.lit(day)).drop("snapshot_date")
     return compare_builds(pick(ends.a), pick(ends.b))
 
 
+_BUILD = "SELECT id, status, taxonId, replacementPlantConceptId, list_sort(evidenceReferenceIds, 'ASC', 'NULLS LAST') AS evidenceReferenceIds FROM plant_concept_snapshots WHERE snapshot_date = (SELECT {}(snapshot_date) FROM plant_concept_snapshots)"
+
+
+@query(f"""
+SELECT 'first' AS side, * FROM ({_BUILD.format("min")} EXCEPT ALL {_BUILD.format("max")})
+UNION ALL SELECT 'second' AS side, * FROM ({_BUILD.format("max")} EXCEPT ALL {_BUILD.format("min")})
+""")
+def build_compare_whole(spark, sf):
+    """Rows that only the first or only the last snapshot has, by all columns but the time of receipt; the order of evidence is no difference."""
+    rows = read_table(spark, sf, "plant_concept_snapshots").drop("received_at")
+    return _compare_ends(rows.withColumns({c: F.array_sort(c) for c, kind in rows.dtypes if kind.startswith("array")}))
+
+
 @query("""
 WITH e AS (SELECT sourceManifestId AS path, count(*) AS entries FROM evidence_references WHERE sourceManifestId IS NOT NULL GROUP BY 1), a AS (SELECT sourceManifestId AS path, count(DISTINCT id) AS entries FROM evidence_references WHERE deleted_at IS NULL AND sourceManifestId IS NOT NULL GROUP BY 1)
 SELECT coalesce(e.path, a.path) AS path, CASE WHEN a.path IS NULL THEN 'missing' WHEN e.path IS NULL THEN 'extra' ELSE 'mismatch' END AS problem FROM e FULL JOIN a ON e.path = a.path WHERE a.path IS NULL OR e.path IS NULL OR e.entries <> a.entries

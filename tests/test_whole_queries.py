@@ -1,5 +1,6 @@
 """Whole results that the SQL can't express, by brute force on small tables and on the test tables."""
 
+import datetime as dt
 import json
 from collections import defaultdict
 
@@ -50,3 +51,18 @@ def test_contradictions_by_brute_force(spark, data):
     got = [tuple(r) for r in q.contradiction_report_whole(spark, data).collect()]
     assert len(got) == len(set(got)) and set(got) == want
     assert {k[:-1] for k in got} >= {tuple(r)[:-1] for r in q.contradiction_report(spark, data).collect()}
+
+
+def _build(spark, folder, rows):
+    schema = "snapshot_date date, id string, status string, taxonId string, replacementPlantConceptId string, evidenceReferenceIds array<string>, received_at timestamp"
+    spark.createDataFrame([(dt.date.fromisoformat(d), *r, dt.datetime(2024, 1, n + 1)) for n, (d, *r) in enumerate(rows)], schema).write.parquet(f"{folder}/plant_concept_snapshots.parquet")
+
+
+def test_builds_differ_in_any_column(spark, tmp_path):
+    a, m, b = "2024-01-01", "2024-02-01", "2024-03-01"
+    same, again = ("same", "active", "t", None, ["e1", "e2"]), ("again", "active", "t", None, None)
+    rows = [(a, *same), (b, "same", "active", "t", None, ["e2", "e1"]), (a, "replaced", "active", "t", None, []), (b, "replaced", "active", "t", "p", []), (a, "evidence", "active", "t", None, ["e1"]), (b, "evidence", "active", "t", None, ["e1", "e1"])]
+    rows += [(a, "null", "active", "t", None, None), (b, "null", "active", "t", None, []), (a, "status", "active", "t", None, []), (b, "status", "retired", "t", None, []), (m, "between", "active", "t", None, []), (a, *again), (a, *again), (b, *again)]
+    _build(spark, tmp_path, rows)
+    found = sorted((r.side, r.id) for r in q.build_compare_whole(spark, str(tmp_path)).collect())
+    assert found == [("first", x) for x in ("again", "evidence", "null", "replaced", "status")] + [("second", x) for x in ("evidence", "null", "replaced", "status")]
