@@ -68,6 +68,17 @@ def _edge(v: str, *names: str) -> str:
     return f"coalesce({', '.join(parts)})"
 
 
+def opened(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``v0``, the VARIANT of the JSON text in column t, and ``v1``, in which JSON text inside a JSON string is read too."""
+    # The pair of a strictly parsed value is a column of its own, so that no lambda keeps these steps out of generated code.
+    rows = rows.withColumn("pair", F.expr(pair_sql("t")))
+    rows = rows.withColumn("v0", F.expr("if(size(pair) = 2, pair[0], null)")).drop("pair")
+    text = "try_variant_get(v0, '$', 'string')"
+    rows = rows.withColumn("text", F.expr(f"if(ltrim(t) like '\"%', {text}, null)"))
+    rows = rows.withColumn("pair", F.expr(f"if(text rlike '^\\\\s*[\\\\[{{\"]', {pair_sql('text')}, null)"))
+    return rows.withColumn("v1", F.expr("if(size(pair) = 2, pair[0], v0)")).drop("pair", "text")
+
+
 def typed_cells(assertions: DataFrame, registry: DataFrame, subject: str = "subjectId", predicate: str = "predicate", value: str = "value", order: tuple[str, ...] = ()) -> DataFrame:
     """Assertions with what they fill: subject, predicate (the registry's spelling), value_type, cell, rank.
 
@@ -81,13 +92,7 @@ def typed_cells(assertions: DataFrame, registry: DataFrame, subject: str = "subj
     rows = assertions.select(F.col(subject).cast("string").alias("subject"), spelling(F.col(predicate)).alias("key"), F.col(value).alias("t"), rank.alias("rank"))
     rows = rows.where("subject is not null and key is not null and t is not null")
     rows = rows.join(F.broadcast(names), "key").drop("key")  # at most MOST_PREDICATES rows, see registry_columns
-    # The pair of a strictly parsed value is a column of its own, so that no lambda keeps these steps out of generated code.
-    rows = rows.withColumn("pair", F.expr(pair_sql("t")))
-    rows = rows.withColumn("v0", F.expr("if(size(pair) = 2, pair[0], null)")).drop("pair")
-    text = "try_variant_get(v0, '$', 'string')"
-    rows = rows.withColumn("text", F.expr(f"if(ltrim(t) like '\"%', {text}, null)"))
-    rows = rows.withColumn("pair", F.expr(f"if(text rlike '^\\\\s*[\\\\[{{\"]', {pair_sql('text')}, null)"))
-    rows = rows.withColumn("v1", F.expr("if(size(pair) = 2, pair[0], v0)")).drop("pair", "text")
+    rows = opened(rows)
     rows = rows.withColumn("v2", F.expr("if(value_type <> 'record', coalesce(try_variant_get(v1, '$.value', 'variant'), v1), v1)"))
     rows = rows.withColumn("kind", F.expr("regexp_extract(schema_of_variant(v2), '^[A-Z]+', 0)"))
     rows = rows.withColumn("s", F.expr("if(kind in ('OBJECT', 'ARRAY', 'VOID'), null, trim(try_variant_get(v2, '$', 'string')))"))

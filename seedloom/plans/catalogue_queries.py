@@ -14,6 +14,7 @@ from seedloom.functions.json_text import canonical_text, strict_json
 from seedloom.operators import integrity, reports
 from seedloom.operators.artifacts import assign_chunks, compare_builds, compare_manifests, gzip_chunks
 from seedloom.operators.schema import SchemaSet, listed_errors, with_validity
+from seedloom.operators.units import measured_values
 from seedloom.operators.wide_table import spelling
 from seedloom.sources import catalogue_schemas
 from seedloom.sources.adapters import Mapping, Release, import_run, to_assertions
@@ -501,13 +502,31 @@ def exclusions_with_reason(spark, sf):
     return reports.exclusions(rows, reasons).groupBy("reason").agg(F.count("*").alias("records"))
 
 
+_BASE_UNITS = {"cm": ("m", 0.01), "mm": ("m", 0.001), "kg": ("kg", 1.0)}
+
+
 @query("SELECT DISTINCT id, (value->>'$.value')::DOUBLE * CASE value->>'$.unit' WHEN 'cm' THEN 0.01 WHEN 'mm' THEN 0.001 WHEN 'kg' THEN 1.0 END AS base_value, CASE value->>'$.unit' WHEN 'cm' THEN 'm' WHEN 'mm' THEN 'm' WHEN 'kg' THEN 'kg' END AS base_unit, value AS original FROM assertions WHERE json_valid(value) AND json_type(value) = 'OBJECT' AND json_exists(value, '$.unit') AND json_type(value, '$.value') IN ('BIGINT', 'UBIGINT', 'DOUBLE')")
 def unit_normalisation(spark, sf):
-    """Measured values in base units, with the original."""
+    """Measured values said as objects with a number and a unit, in base units, with the original.
+
+    This is the part of ``unit_normalisation_whole`` that its SQL can express.
+    """
     rows = read_table(spark, sf, "assertions", "id", "value").where("value is not null").withColumn("v", strict_json("value"))
     rows = rows.select("id", F.col("value").alias("original"), F.try_variant_get("v", "$.value", "double").alias("n"), F.try_variant_get("v", "$.unit", "string").alias("u"), F.schema_of_variant(F.try_variant_get("v", "$.value", "variant")).alias("kind"))
     rows = rows.where("u is not null and n is not null and kind <> 'STRING' and kind <> 'BOOLEAN'")
-    return reports.normalised_units(rows, "n", "u", {"cm": ("m", 0.01), "mm": ("m", 0.001), "kg": ("kg", 1.0)}).select("id", "base_value", "base_unit", "original").distinct()
+    return reports.normalised_units(rows, "n", "u", _BASE_UNITS).select("id", "base_value", "base_unit", "original").distinct()
+
+
+@query()
+def unit_normalisation_whole(spark, sf):
+    """Measured values of every shape in base units, with number and unit as said and the original; ranges give a row for each bound.
+
+    A unit without a base unit here (days, pH) leaves base_value and base_unit NULL.
+    """
+    rows = read_table(spark, sf, "assertions", "id", "predicate", "value", "normalization").select("id", "predicate", "value", F.col("normalization.unit").alias("unit"))
+    said = measured_values(rows, read_table(spark, sf, "predicate_registry", "predicate", "value_type", "unit", "aliases"))
+    based = reports.normalised_units(said, "number", "said_unit", _BASE_UNITS)
+    return based.select("id", "bound", "base_value", "base_unit", "number", F.col("said_unit").alias("unit"), F.col("value").alias("original")).distinct()
 
 
 _SPELLED = "regexp_replace(lower({}), '[\\s _-]', '', 'g')"

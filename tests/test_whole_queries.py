@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import re
 from collections import defaultdict
 
 from seedloom.plans import catalogue_queries as q
@@ -66,3 +67,77 @@ def test_builds_differ_in_any_column(spark, tmp_path):
     _build(spark, tmp_path, rows)
     found = sorted((r.side, r.id) for r in q.build_compare_whole(spark, str(tmp_path)).collect())
     assert found == [("first", x) for x in ("again", "evidence", "null", "replaced", "status")] + [("second", x) for x in ("evidence", "null", "replaced", "status")]
+
+
+REGISTRY = [("depth", "number", "cm", ["wurzel tiefe"]), ("days", "integer", "d", None), ("acidity", "range", "pH", []), ("form", "text", None, []), ("bloom", "window", None, [])]
+
+
+def test_measures_of_any_shape(spark, tmp_path):
+    said = [
+        ("depth", '{"value": 5, "unit": "mm"}', None, [(None, 5.0, "mm", 0.005)]), ("depth", '{"value": "5,5 mm"}', None, [(None, 5.5, "mm", 0.0055)]), ("Depth", '"9.9 cm"', None, [(None, 9.9, "cm", 0.099)]), ("other", '"9,9mm"', None, [(None, 9.9, "mm", 0.0099)]),
+        ("other", '"9kg"', None, [(None, 9.0, "kg", 9.0)]), ("other", "7", "kg", [(None, 7.0, "kg", 7.0)]), ("other", '"7,5"', "cm", [(None, 7.5, "cm", 0.075)]), ("Wurzel-Tiefe", "12", None, [(None, 12.0, "cm", 0.12)]), ("depth", '"12 mm"', "cm", [(None, 12.0, "mm", 0.012)]),
+        ("depth", '"{\\"value\\": 3, \\"unit\\": \\"cm\\"}"', None, [(None, 3.0, "cm", 0.03)]), ("depth", '{"value": 3, "unit": " CM "}', None, [(None, 3.0, "CM", 0.03)]), ("days", '"4 d"', None, [(None, 4.0, "d", None)]),
+        ("acidity", '{"min": 4.5, "max": null, "unit": "pH"}', None, [("min", 4.5, "pH", None)]), ("acidity", "[4.5, 6]", None, [("min", 4.5, "pH", None), ("max", 6.0, "pH", None)]), ("acidity", '"4,5 – 6,5"', None, [("min", 4.5, "pH", None), ("max", 6.5, "pH", None)]), ("other", '"4 to 6 cm"', None, [("min", 4.0, "cm", 0.04), ("max", 6.0, "cm", 0.06)]),
+        ("depth", "true", None, []), ("depth", "null", None, []), ("depth", '"see note 4"', None, []), ("depth", "{", None, []), ("depth", None, None, []), ("depth", '" "', None, []), ("other", "7", None, []), ("form", '"7"', None, []), ("bloom", '"04-12/05-03"', None, []), ("bloom", '{"from": "04-12", "to": "05-03"}', None, []), ("depth", '"9 cm", 1', None, []), ("form", "[1, 2]", None, []),
+    ]
+    spark.createDataFrame([(str(n), p, v, (None, None, u)) for n, (p, v, u, _) in enumerate(said)], "id string, predicate string, value string, normalization struct<originalValue: string, method: string, unit: string>").write.parquet(f"{tmp_path}/assertions.parquet")
+    spark.createDataFrame(REGISTRY, "predicate string, value_type string, unit string, aliases array<string>").write.parquet(f"{tmp_path}/predicate_registry.parquet")
+    found = defaultdict(set)
+    for r in q.unit_normalisation_whole(spark, str(tmp_path)).collect():
+        assert r.original == said[int(r.id)][1] and r.base_unit == {"cm": "m", "mm": "m", "kg": "kg"}.get(r.unit.lower())
+        found[r.id].add((r.bound, r.number, r.unit, r.base_value and round(r.base_value, 9)))
+    for n, (*_, want) in enumerate(said):
+        assert found[str(n)] == set(want), said[n]
+
+
+_N, _U = r"[+-]?(?:\d+(?:[.,]\d*)?|[.,]\d+)(?:[eE][+-]?\d+)?", r"(?:[^\W\d_]|[%°µ])[\w°%²³/.]*"
+
+
+def _measures(text, named, unit):
+    """Bound, number and unit of each number of one value; ``named``: value types and units of its predicate."""
+
+    def number(x):
+        if x is None or isinstance(x, bool | dict | list):
+            return None
+        m = re.fullmatch(rf"({_N})\s*({_U})?", x.strip() if isinstance(x, str) else repr(x))
+        return m and (float(m[1].replace(",", ".")), m[2])
+
+    try:
+        value = json.loads(text)
+        while isinstance(value, str) and value.lstrip()[:1] in tuple('[{"'):
+            value = json.loads(value)
+    except ValueError:
+        return set()
+    own = value.get("unit") if isinstance(value, dict) else None
+    if isinstance(value, dict) and value.get("value") is not None:
+        value = value["value"]
+    out = set()
+    for kind, registered in named or [(None, None)]:
+        parts, both = [(None, number(value))], (None, None)
+        if isinstance(value, dict):
+            both = [number(next((value[n] for n in names if value.get(n) is not None), None)) for names in (("min", "low", "lower", "from"), ("max", "high", "upper", "to"))]
+        elif isinstance(value, list) and len(value) == 2 and kind == "range":
+            both = [number(x) for x in value]
+        elif isinstance(value, str) and (m := re.fullmatch(rf"({_N}(?:\s*{_U})??)\s*(?:-|–|—|~|\.\.+|to|bis|à|a|until)\s*({_N}(?:\s*{_U})?)", value.strip())):
+            both = [number(m[1]), number(m[2])]
+        written = [x[1] for x in both if x and x[1]]
+        if kind == "range" or own or written:
+            parts += zip(("min", "max"), both, strict=True)
+        for bound, x in parts:
+            said = x and (x[1] or own or (bound and next(iter(written), None)) or unit or registered)
+            if said:
+                out.add((bound, x[0], said.strip()))
+    return out
+
+
+def test_measures_by_brute_force(spark, data):
+    plain = lambda p: re.sub(r"[\s_-]", "", p).lower()
+    named = defaultdict(set)
+    for r in spark.read.parquet(f"{data}/predicate_registry.parquet").collect():
+        for alias in [r.predicate, *(r.aliases or [])]:
+            named[plain(alias)].add((r.value_type, r.unit))
+    rows = spark.read.parquet(f"{data}/assertions.parquet").collect()
+    want = {(r.id, *m, r.value) for r in rows if r.value is not None for m in _measures(r.value, r.predicate and named.get(plain(r.predicate)), r.normalization and r.normalization.unit)}
+    whole = q.unit_normalisation_whole(spark, data).collect()
+    assert len(whole) == len(want) and {(r.id, r.bound, r.number, r.unit, r.original) for r in whole} == want
+    assert {(r.id, r.base_value, r.base_unit, r.original) for r in whole} >= {(r.id, r.base_value, r.base_unit, r.original) for r in q.unit_normalisation(spark, data).collect()}
