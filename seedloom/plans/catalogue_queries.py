@@ -579,10 +579,16 @@ SELECT 'source_parts:1:' || p_partkey || ':' || m.predicate AS id, 'part_' || p_
 CROSS JOIN LATERAL (VALUES ('size', p_size::VARCHAR), ('brand', to_json(p_brand)::VARCHAR)) m(predicate, value) WHERE p_size > 1 AND m.value IS NOT NULL
 """)
 def adapted_assertions(spark, sf):
-    """Parts of a release as assertions (text and whole numbers)."""
+    """Parts of a release as assertions (text and whole numbers); ``adapted_assertions_whole`` has the prices too."""
     return _imported(spark, sf)[0].where("predicate <> 'price'").select("id", "subjectId", "predicate", "value")
 
 
+@query()
+def adapted_assertions_whole(spark, sf):
+    """Parts of a release as assertions of every mapped column."""
+    return _imported(spark, sf)[0].select("id", "subjectId", "predicate", "value")
+
+
 @query("""
 SELECT 'assertions' AS what, NULL AS reason, (SELECT count(p_size) + count(p_retailprice) + count(p_brand) FROM part WHERE p_size > 1) AS n UNION ALL SELECT 'evidence', NULL, (SELECT count(DISTINCT p_partkey) FROM part WHERE p_size > 1)
 UNION ALL SELECT 'rejected', 'no locator', n FROM (SELECT count(*) AS n FROM part WHERE p_size <= 1 OR p_size IS NULL) WHERE n > 0

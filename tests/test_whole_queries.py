@@ -141,3 +141,26 @@ def test_measures_by_brute_force(spark, data):
     whole = q.unit_normalisation_whole(spark, data).collect()
     assert len(whole) == len(want) and {(r.id, r.bound, r.number, r.unit, r.original) for r in whole} == want
     assert {(r.id, r.base_value, r.base_unit, r.original) for r in whole} >= {(r.id, r.base_value, r.base_unit, r.original) for r in q.unit_normalisation(spark, data).collect()}
+
+
+def _parts(rows):
+    """Assertions of parts, one for each cell: id, subjectId, predicate and the value that the JSON text has to have."""
+    good = [r for r in rows if r.p_partkey is not None and r.p_size is not None and r.p_size > 1]
+    return sorted((f"source_parts:1:{r.p_partkey}:{p}", f"part_{r.p_partkey}", p, v) for r in good for p, v in (("size", r.p_size), ("price", r.p_retailprice), ("brand", r.p_brand)) if v is not None)
+
+
+def _adapted(df):
+    return sorted((r.id, r.subjectId, r.predicate, json.loads(r.value)) for r in df.collect())
+
+
+def test_every_mapped_column_is_adapted(spark, tmp_path):
+    rows = [(1, "a", 5, 901.25, "Brand#1"), (2, "b", 1, 3.0, "x"), (3, "c", 2, 1e9, 'q"}'), (4, "d", 7, 0.1, None), (5, "e", None, 4.0, "x"), (6, "f", 3, None, "y\\"), (7, "g", 3, 1234567890.12, "é\n")]
+    df = spark.createDataFrame(rows, "p_partkey bigint, p_name string, p_size int, p_retailprice double, p_brand string")
+    df.write.parquet(f"{tmp_path}/part.parquet")
+    assert _adapted(q.adapted_assertions_whole(spark, str(tmp_path))) == _parts(df.collect())
+
+
+def test_adapted_parts_by_brute_force(spark, data):
+    got = _adapted(q.adapted_assertions_whole(spark, data))
+    assert got == _parts(spark.read.parquet(f"{data}/part.parquet").collect())
+    assert len(got) == next(r.n for r in q.import_run_counts(spark, data).collect() if r.what == "assertions")
