@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from itertools import chain, repeat
+from itertools import chain, islice, repeat
 from math import log
 
 from pyspark.sql import DataFrame
@@ -268,21 +268,23 @@ def _search(held: HeldOut, idf, basis, cosine: float):
         for batch in batches:
             texts = batch.column(1).to_pylist()
             found, docs, starts, block = _known(texts, held)
-            best: dict[tuple[int, int], tuple[float, int]] = {}
+            best: dict[tuple[int, int], list[tuple[float, int]]] = {}
             for k in range(0, len(docs), ROWS):
                 z = _tfidf(block[k : k + ROWS], idf) @ basis
                 z /= np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-9)
                 near = np.maximum.reduceat(z @ queries, bounds[:-1], axis=1)
                 for r, c in np.argwhere(near >= cosine).tolist():
-                    key = (int(docs[k + r]), int(order[c]))
-                    if near[r, c] > best.get(key, (-1.0, 0))[0]:
-                        best[key] = (float(near[r, c]), int(starts[k + r]))
+                    kept, one = best.setdefault((int(docs[k + r]), int(order[c])), []), (float(near[r, c]), int(starts[k + r]))
+                    if one[0] >= NEAR:  # any of these may be the paraphrase
+                        kept.append(one)
+                    elif not kept or kept[0][0] < min(one[0], NEAR):
+                        kept[:1] = [one]
             rows, before, whole = [], -1, set()
-            for (d, item), (cos, start) in sorted(best.items()):
+            for (d, item), passages in sorted(best.items()):
                 if d != before:  # a document's candidates come one after the other
                     before, whole = d, held.shared_runs(found[d])
-                if row := _checked(held, found[d], d, item, cos, start, item in whole):
-                    rows.append(row)
+                checked = (_checked(held, found[d], d, item, cos, start, item in whole) for cos, start in sorted(passages, key=lambda p: (-p[0], p[1])))
+                rows += list(islice(filter(None, checked), 1))  # of the nearest passage that passes
             columns = list(zip(*rows, strict=True)) or [[] for _ in range(7)]
             ids = batch.column(0).take(pa.array(columns[0], pa.int64()))
             yield pa.RecordBatch.from_arrays([ids, *[pa.array(c, t) for c, t in zip(columns[1:], (pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.float64(), pa.string()), strict=True)]], ["id", "item_id", "cosine", "run", "common", "answers", "kind"])
@@ -291,7 +293,7 @@ def _search(held: HeldOut, idf, basis, cosine: float):
 
 
 def _checked(held: HeldOut, found: list[str], d: int, item: int, cosine: float, start: int, verbatim: bool):
-    """A candidate's row if it is a verbatim leak or a paraphrase."""
+    """The row of a candidate's passage if it is a verbatim leak or a paraphrase."""
     wanted = held.items[item]
     if not verbatim and cosine < NEAR:
         return None
