@@ -6,7 +6,8 @@ entities are written range-partitioned and sorted by signature. Each of the most
 table that has only its own columns and whose scan prunes all other row groups; all of them are put together by
 ``unionByName(allowMissingColumns=True)``. The number of signatures can grow with the data (at most two to the power of
 the attributes), so one table per signature is built for the ``dense`` most frequent ones only and the entities of
-the rarer signatures form one last table with all columns; no entity is left out.
+the rarer signatures form one last table with all columns; no entity is left out. Where nearly every entity has a
+signature of its own, as in the test tables, nearly all of them are in that last table, which is a plain pivot.
 """
 
 from __future__ import annotations
