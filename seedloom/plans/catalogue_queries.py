@@ -278,10 +278,16 @@ UNION ALL SELECT id, '', unnest(['required', 'required']) FROM src WHERE plantCo
 
 @query(_RULE_SQL)
 def schema_errors_rules(spark, sf):
-    """Errors of rules outside their timing (exactly one target by oneOf and not)."""
+    """Errors of rules outside their timing (exactly one target by oneOf and not); ``schema_errors_rules_timing`` has the others."""
     return _rule_errors(spark, sf).where("path not like '/timing%'")
 
 
+@query()
+def schema_errors_rules_timing(spark, sf):
+    """Errors of rules at and inside their timing (both kinds of window, months, days, offsets)."""
+    return _rule_errors(spark, sf).where("path like '/timing%'")
+
+
 def _rule_errors(spark, sf) -> DataFrame:
     rows = read_table(spark, sf, "cultivation_rules", "id", "status", "plantConceptId", "cultivarId", "contextId", "action", "timing", "evidenceReferenceIds")
     return _errors(rows.select("id", F.parse_json(F.to_json(F.struct("*"))).alias("v")), "cultivation-rule")

@@ -5,6 +5,8 @@ import json
 import re
 from collections import defaultdict
 
+from pyspark.sql import Row
+
 from seedloom.plans import catalogue_queries as q
 
 
@@ -164,3 +166,49 @@ def test_adapted_parts_by_brute_force(spark, data):
     got = _adapted(q.adapted_assertions_whole(spark, data))
     assert got == _parts(spark.read.parquet(f"{data}/part.parquet").collect())
     assert len(got) == next(r.n for r in q.import_run_counts(spark, data).collect() if r.what == "assertions")
+
+
+def _timing_errors(t):
+    """Path and keyword of every error of a rule's timing, by both kinds of window; none if exactly one fits."""
+    t = {k: {n: x for n, x in v.asDict().items() if x is not None} if isinstance(v, Row) else v for k, v in t.asDict().items() if v is not None}
+    calendar = [("/timing/type", "const")] * (t.get("type") not in (None, "calendar-date-window"))
+    calendar += [("/timing", "required") for k in ("type", "start", "end", "precision") if k not in t] + [("/timing", "additionalProperties") for k in ("anchor", "startOffsetDays", "endOffsetDays") if k in t]
+    calendar += [("/timing/precision", "enum")] * (t.get("precision") not in (None, "day", "month"))
+    for edge in ("start", "end"):
+        for part, most in (("month", 12), ("day", 31)):
+            n = t.get(edge, {part: 1}).get(part)
+            at = f"/timing/{edge}"
+            calendar += [(at, "required")] * (n is None) + [(f"{at}/{part}", "minimum")] * (n is not None and n < 1) + [(f"{at}/{part}", "maximum")] * (n is not None and n > most)
+    relative = [("/timing/type", "const")] * (t.get("type") not in (None, "relative-day-window"))
+    relative += [("/timing", "required") for k in ("type", "anchor", "startOffsetDays", "endOffsetDays") if k not in t] + [("/timing", "additionalProperties") for k in ("start", "end", "precision") if k in t]
+    relative += [("/timing/anchor", "enum")] * (t.get("anchor") not in (None, "last_spring_frost", "first_autumn_frost", "previous_crop_harvest"))
+    return [*calendar, *relative, ("/timing", "oneOf")] if calendar and relative else []
+
+
+def _timing_rows(spark, folder):
+    rules = spark.read.parquet(f"{folder}/cultivation_rules.parquet").collect()
+    want = sorted(((r.id, *e) for r in rules if r.timing is not None for e in _timing_errors(r.timing)), key=str)
+    got = sorted(map(tuple, q.schema_errors_rules_timing(spark, str(folder)).collect()), key=str)
+    assert got == want
+    return got
+
+
+def test_errors_inside_timings(spark, tmp_path):
+    def rule(id, **timing):
+        edge = lambda e: e and tuple(e)
+        names = ("type", "start", "end", "precision", "anchor", "startOffsetDays", "endOffsetDays")
+        return (id, "active", "p", None, "c", "direct_sow", tuple(edge(timing.get(n)) if n in ("start", "end") else timing.get(n) for n in names), ["e"])
+
+    calendar, relative = {"type": "calendar-date-window", "precision": "day", "start": (3, 1), "end": (4, 31)}, {"type": "relative-day-window", "anchor": "last_spring_frost", "startOffsetDays": -7, "endOffsetDays": 7}
+    rows = [rule("good", **calendar), rule("relative", **relative), rule("month", **calendar | {"start": (13, 1)}), rule("zero", **calendar | {"end": (0, 0)}), rule("day", **calendar | {"start": (2, 32)}), rule("part", **calendar | {"end": (5, None)})]
+    rows += [rule("open", **calendar | {"end": None}), rule("mixed", **calendar | relative), rule("precise", **calendar | {"precision": "hour"}), rule("anchor", **relative | {"anchor": "easter"}), rule("kind", **relative | {"type": "other"}), rule("empty"), ("none", "active", "p", None, "c", "direct_sow", None, ["e"])]
+    edge = "struct<month: int, day: int>"
+    timing = f"struct<type: string, start: {edge}, end: {edge}, precision: string, anchor: string, startOffsetDays: int, endOffsetDays: int>"
+    spark.createDataFrame(rows, f"id string, status string, plantConceptId string, cultivarId string, contextId string, action string, timing {timing}, evidenceReferenceIds array<string>").write.parquet(f"{tmp_path}/cultivation_rules.parquet")
+    got = _timing_rows(spark, tmp_path)
+    assert {r[0] for r in got} == {"month", "zero", "day", "part", "open", "mixed", "precise", "anchor", "kind", "empty"}
+    assert {("month", "/timing/start/month", "maximum"), ("zero", "/timing/end/day", "minimum"), ("zero", "/timing/end/month", "minimum"), ("day", "/timing/start/day", "maximum")} <= set(got)
+
+
+def test_timing_errors_by_brute_force(spark, data):
+    _timing_rows(spark, data)
