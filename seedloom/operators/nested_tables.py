@@ -2,15 +2,18 @@
 
 Method: a higher-order SQL projection. A level is an array of nodes (path, position, parent path, value); the
 next level is ``flatten(transform(...))`` over it, where nested ``transform`` calls attach the ancestor's path and
-the position. One ``inline`` per target table turns the collected nodes into rows. No row leaves the JVM and no
-shuffle is needed. Values nested deeper than :data:`LEVELS` are finished by :func:`_deeper` for those rows only, so
-that depth is not bounded.
+the position. One ``inline`` per target table turns the collected nodes into rows. No shuffle is needed,
+and few rows leave the JVM: values nested deeper than :data:`LEVELS` are finished by :func:`_deeper`, and text that the JVM's parser may
+refuse is walked there as a whole, so that depth is not bounded.
 """
 
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
+from json.decoder import scanstring
+from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +23,13 @@ from seedloom.functions.json_text import pair_sql, strict_json
 #: Levels of nesting that the JVM projection unrolls; a documented parameter, not a limit of the result.
 LEVELS = 20
 
+#: The JVM's parser refuses text nested more than 1,000 levels or with a string above 20 million characters; text that may is left to Python.
+JVM_LEVELS, JVM_LENGTH = 900, 19_000_000
+
+_SPACE = re.compile(r"[ \t\n\r]*")
+_ATOM = re.compile(r"true|false|null|-?(?:0|[1-9][0-9]*)(\.[0-9]+)?([eE][+-]?[0-9]+)?")
+_WORDS = {"true": True, "false": False, "null": None}
+
 _NODE = "named_struct('path', {path}, 'parent', {parent}, 'position', {position}, 'v', {v})"
 _FOUND = "array<struct<path:string,parent_path:string,position:int,object:string>>"
 
@@ -39,34 +49,109 @@ def _next_level(nodes: str) -> str:
     )
 
 
-def _walk(text: str, past: int) -> Iterator[tuple[str, str, int, str]]:
+def _name(text: str, at: int, owner: dict) -> tuple[str, int]:
+    """A member's name and the place after its colon."""
+    at = _SPACE.match(text, at).end()
+    if text[at : at + 1] != '"':
+        raise ValueError("no member name")
+    name, at = scanstring(text, at + 1, True)
+    at = _SPACE.match(text, at).end()
+    if name in owner or text[at : at + 1] != ":":
+        raise ValueError("a repeated member name or no colon")
+    return name, at + 1
+
+
+def _parsed(text: str) -> Any:
+    """The value of one JSON text, without recursion; refuses repeated member names."""
+    open_: list[list] = []  # containers around the place, with the name of the member that is read
+    at = 0
+    while True:
+        at = _SPACE.match(text, at).end()
+        c = text[at : at + 1]
+        if c == "[" or c == "{":
+            value: Any = [] if c == "[" else {}
+            at = _SPACE.match(text, at + 1).end()
+            if text[at : at + 1] != ("]" if c == "[" else "}"):
+                open_.append([value, None])
+                if c == "{":
+                    open_[-1][1], at = _name(text, at, value)
+                continue
+            at += 1
+        elif c == '"':
+            value, at = scanstring(text, at + 1, True)
+        elif m := _ATOM.match(text, at):
+            at = m.end()
+            value = _WORDS[m[0]] if m[0] in _WORDS else float(m[0]) if m[1] or m[2] or len(m[0]) > 4000 else int(m[0])
+        else:
+            raise ValueError("no JSON value")
+        while open_:
+            owner, name = open_[-1]
+            if name is None:
+                owner.append(value)
+            else:
+                owner[name] = value
+            at = _SPACE.match(text, at).end()
+            c = text[at : at + 1]
+            at += 1
+            if c == ",":
+                if name is not None:
+                    open_[-1][1], at = _name(text, at, owner)
+                break
+            if c != ("]" if name is None else "}"):
+                raise ValueError("a container isn't closed")
+            value = open_.pop()[0]
+        else:
+            if _SPACE.match(text, at).end() < len(text):
+                raise ValueError("text after the value")
+            return value
+
+
+def _text(value: Any) -> str:
+    """JSON with sorted members and without blanks, without recursion."""
+    out, todo = [], [value]
+    while todo:
+        x = todo.pop()
+        if isinstance(x, tuple):  # a piece of text
+            out.append(x[0])
+        elif isinstance(x, dict):
+            pieces = [p for n, k in enumerate(sorted(x)) for p in ((f"{',' if n else '{'}{json.dumps(k, ensure_ascii=False)}:",), x[k])]
+            todo += [("}",), *reversed(pieces or [("{",)])]
+        elif isinstance(x, list):
+            pieces = [p for n, e in enumerate(x) for p in (("," if n else "[",), e)]
+            todo += [("]",), *reversed(pieces or [("[",)])]
+        else:
+            out.append(json.dumps(x, ensure_ascii=False))
+    return "".join(out)
+
+
+def _walk(text: str, past: int, objects: bool = True) -> Iterator[tuple[str, str, int, str]]:
     """Objects in arrays below level ``past`` of one JSON text: path, parent path, position, JSON."""
     try:
-        stack = [("value", None, None, json.loads(text), 0)]
-    except (ValueError, RecursionError):
+        stack = [("value", None, None, _parsed(text), 0)]
+    except ValueError:
         return
     while stack:
         path, parent, position, v, level = stack.pop()
         if isinstance(v, str) and v.lstrip()[:1] in ("[", "{", '"'):
             try:
-                stack.append((path, parent, position, json.loads(v), level + 1))
-            except (ValueError, RecursionError):
+                stack.append((path, parent, position, _parsed(v), level + 1))
+            except ValueError:
                 pass
         elif isinstance(v, dict):
             if position is not None and level > past:
-                yield path, parent, position, json.dumps(v, ensure_ascii=False, sort_keys=True, separators=(",", ":"))
+                yield path, parent, position, _text(v) if objects else None
             stack.extend((f"{path}.{k}", path, None, x, level + 1) for k, x in v.items())
         elif isinstance(v, list):
             owner = parent
             stack.extend((f"{path}[{i}]", owner, i, x, level + 1) for i, x in enumerate(v))
 
 
-def _deeper(past: int):
+def _deeper(past: int, objects: bool):
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
-            rows = [(i, *node) for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for node in _walk(t, past)]
+            rows = [(i, *node) for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for node in _walk(t, past, objects)]
             columns = list(zip(*rows, strict=True)) or [[]] * 5
             yield pa.RecordBatch.from_arrays(
                 [pa.array(columns[k], t) for k, t in enumerate((pa.string(), pa.string(), pa.string(), pa.int32(), pa.string()))],
@@ -87,6 +172,13 @@ def nested_objects(df: DataFrame, id: str = "id", value: str = "value", levels:
     """
     base = df.select(F.col(id).cast("string").alias("id"), F.col(value).alias("t")).where("(t like '%{%' and t like '%[%') or instr(t, '\\\\u') > 0")
     nodes = base.withColumn("v", strict_json("t"))
+    # Brackets, also as escapes, and JSON strings within JSON strings, whose escapes double with each level.
+    count = lambda what: f"length(t) - length(translate(t, '{what}', ''))"
+    escapes = f"({count(chr(92) * 2)})"
+    opening = F.expr(f"{count('[{')} + if({escapes} > 0, (length(t) - length(replace(t, '{chr(92) * 2}u', ''))) / 2 + log2({escapes} + 1), 0) + 1")
+    # What the JVM's parser may refuse for its depth or its length is walked as a whole in Python.
+    beyond = (opening > JVM_LEVELS) | (F.length("t") > JVM_LENGTH)
+    nodes = nodes.where(~beyond)
     root = _NODE.format(path="'value'", parent="cast(null as string)", position="cast(null as int)", v="v")
     state = nodes.select("id", F.expr(f"array({root})").alias("nodes"), F.array().cast(_FOUND).alias("found"))
     text = "to_json(n.v)" if objects else "cast(null as string)"
@@ -97,9 +189,10 @@ def nested_objects(df: DataFrame, id: str = "id", value: str = "value", levels:
     # The outer form: for the plain one a filter on the found rows is pushed down, and all levels are computed twice.
     flat = state.selectExpr("id", "inline_outer(found)").where("path is not null")
     # Only text with more opening brackets than levels can nest deeper; those rows are looked at once more.
-    opening = F.expr("length(t) - length(translate(t, '[{', ''))")
-    deep = base.where(opening > levels).mapInArrow(_deeper(levels), "id string, path string, parent_path string, position int, object string")
-    return flat.unionByName(deep)
+    columns = "id string, path string, parent_path string, position int, object string"
+    deep = base.where((opening > levels) & ~beyond).mapInArrow(_deeper(levels, objects), columns)
+    whole = base.where(beyond).mapInArrow(_deeper(-1, objects), columns)
+    return flat.unionByName(deep).unionByName(whole)
 
 
 def list_elements(df: DataFrame, elements: str | Column, path: str, id: str = "id") -> DataFrame:

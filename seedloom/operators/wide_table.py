@@ -86,7 +86,8 @@ def typed_cells(assertions: DataFrame, registry: DataFrame, subject: str = "subj
     ``cell`` is a struct with one member per value type, all but the fitting one NULL; ``rank`` orders the cells of one
     subject and predicate (by ``order``, then the value's text). Rows without subject or value or with a predicate outside
     the registry are left out; blank and unreadable values and remarks fill nothing: their cell and rank are NULL. An alias that names two predicates
-    counts for each.
+    counts for each. JSON nested more than 1,000 levels or with a string above 20 million characters counts as unreadable: the JVM's
+    parser refuses it.
     """
     names = registry.select(F.col("predicate").alias("column"), F.col("value_type"), F.explode(F.array_distinct(F.transform(F.concat(F.array("predicate"), F.coalesce(F.col("aliases"), F.array().cast("array<string>"))), spelling))).alias("key"))
     rank = F.struct(*[F.col(c).alias(f"r{i}") for i, c in enumerate(order)], F.col(value).alias("text"))
