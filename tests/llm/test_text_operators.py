@@ -5,7 +5,7 @@ import os
 import unicodedata
 
 import pytest
-from hypothesis import given
+from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -52,6 +52,7 @@ def naive_key(text):
     return None if text is None else [c for ch in text for c in unicodedata.normalize("NFD", ch.casefold()) if unicodedata.category(c)[0] in "LN" or unicodedata.combining(c)]
 
 
+@settings(deadline=None)  # the first call builds the table
 @given(st.lists(st.tuples(st.text("aÀàé́eßẞ1٣ -_\t’ÅǺガ゙", max_size=8), st.text("aÀàé́eßẞ1٣ -_\t’ÅǺガ゙", max_size=8)), max_size=6))
 def test_hashes_follow_content(pairs):
     import pyarrow as pa
@@ -194,6 +195,7 @@ def test_leaks(spark):
     assert leakage.leaks(df.limit(0), items).collect() == [] and leakage.leaks(df, items.limit(0)).collect() == []
 
 
+@settings(deadline=None)
 @given(st.lists(st.sampled_from("abc"), max_size=12), st.lists(st.sampled_from("abc"), max_size=12))
 def test_subsequence_and_run(a, b):
     table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
