@@ -172,23 +172,28 @@ def nested_objects(df: DataFrame, id: str = "id", value: str = "value", levels:
     """
     base = df.select(F.col(id).cast("string").alias("id"), F.col(value).alias("t")).where("(t like '%{%' and t like '%[%') or instr(t, '\\\\u') > 0")
     nodes = base.withColumn("v", strict_json("t"))
-    # Brackets, also as escapes, and JSON strings within JSON strings, whose escapes double with each level.
+    # Every level costs one opening bracket or one JSON string within a JSON string. A bracket stands in the text or as an
+    # escape, which always has its own "u00"; a string within a string either doubles the backslashes before its quote or is written
+    # with such an escape. So no text is deeper than this.
     count = lambda what: f"length(t) - length(translate(t, '{what}', ''))"
     escapes = f"({count(chr(92) * 2)})"
-    opening = F.expr(f"{count('[{')} + if({escapes} > 0, (length(t) - length(replace(t, '{chr(92) * 2}u', ''))) / 2 + log2({escapes} + 1), 0) + 1")
+    opening = F.expr(f"{count('[{')} + 2 + if({escapes} > 0, (length(t) - length(replace(t, 'u00', ''))) / 3 + log2({escapes} + 1), 0)")
     # What the JVM's parser may refuse for its depth or its length is walked as a whole in Python.
     beyond = (opening > JVM_LEVELS) | (F.length("t") > JVM_LENGTH)
     nodes = nodes.where(~beyond)
+    nodes = nodes.withColumn("deep", opening > levels)
     root = _NODE.format(path="'value'", parent="cast(null as string)", position="cast(null as int)", v="v")
-    state = nodes.select("id", F.expr(f"array({root})").alias("nodes"), F.array().cast(_FOUND).alias("found"))
+    state = nodes.select("id", "deep", F.expr(f"array({root})").alias("nodes"), F.array().cast(_FOUND).alias("found"))
     text = "to_json(n.v)" if objects else "cast(null as string)"
     met = f"transform(filter(nodes, n -> n.position is not null and try_variant_get(n.v, '$', 'map<string,variant>') is not null), n -> named_struct('path', n.path, 'parent_path', n.parent, 'position', n.position, 'object', {text}))"
     for _ in range(levels):  # only the level at hand and what was found are carried on
-        state = state.select("id", F.expr(_next_level("nodes")).alias("nodes"), "found")
-        state = state.select("id", "nodes", F.expr(f"concat(found, {met})").alias("found"))
+        state = state.select("id", "deep", F.expr(_next_level("nodes")).alias("nodes"), "found")
+        state = state.select("id", "deep", "nodes", F.expr(f"concat(found, {met})").alias("found"))
+    # Rows with nodes left must be among those that are walked below: the flag is carried along, and a row without it fails the job.
+    state = state.withColumn("found", F.expr(f"if(not deep and size({_next_level('nodes')}) > 0, raise_error('a value is deeper than its text allows'), found)"))
     # The outer form: for the plain one a filter on the found rows is pushed down, and all levels are computed twice.
     flat = state.selectExpr("id", "inline_outer(found)").where("path is not null")
-    # Only text with more opening brackets than levels can nest deeper; those rows are looked at once more.
+    # What may nest deeper is looked at once more.
     columns = "id string, path string, parent_path string, position int, object string"
     deep = base.where((opening > levels) & ~beyond).mapInArrow(_deeper(levels, objects), columns)
     whole = base.where(beyond).mapInArrow(_deeper(-1, objects), columns)
