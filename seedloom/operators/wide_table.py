@@ -1,13 +1,13 @@
 """Entity, attribute, value rows into one wide table with typed columns.
 
 Method: characteristic sets. The cells of an entity are reduced to one per attribute (with map-side combining, so a
-hot entity shrinks before the shuffle), the exact set of filled attributes becomes the entity's signature, and the
-entities are written range-partitioned and sorted by signature. Each of the most frequent signatures then gives a dense
-table that has only its own columns and whose scan prunes all other row groups; all of them are put together by
-``unionByName(allowMissingColumns=True)``. The number of signatures can grow with the data (at most two to the power of
-the attributes), so one table per signature is built for the ``dense`` most frequent ones only and the entities of
-the rarer signatures form one last table with all columns; no entity is left out. Where nearly every entity has a
-signature of its own, as in the test tables, nearly all of them are in that last table, which is a plain pivot.
+hot entity shrinks before the shuffle), and the exact set of filled attributes becomes the entity's signature. The number of signatures can
+grow with the data, at most to two to the power of the attributes, so signatures are merged by subset into a bounded
+number of dense tables: with the attributes in order of their frequency, a signature belongs to the table of its rarest attribute, and
+a table has that attribute's and all more frequent columns, of which each of its signatures is a subset. Entities are written once,
+partitioned by table and sorted by signature (so that absent columns are runs of NULLs, which Parquet stores in no room); each dense
+table then reads its own partition and its own columns only, and all of them are put together by
+``unionByName(allowMissingColumns=True)``. Every entity is in exactly one dense table.
 """
 
 from __future__ import annotations
@@ -34,6 +34,10 @@ COLUMN_TYPES = {
 }
 #: A wide table can't have more columns than this; a registry with more predicates is refused.
 MOST_PREDICATES = 2000
+#: The registry's spellings are sent to every task; a registry with more is refused.
+MOST_SPELLINGS = 100_000
+#: Dense tables that the signatures are merged into.
+TABLES = 6
 
 _NUMBER = r"[+\\-]?(?:\\d+(?:[.,]\\d*)?|[.,]\\d+)(?:[eE][+\\-]?\\d+)?"
 _UNIT = r"(?:\\s*[%°µ\\p{L}][\\p{L}\\p{N}°%²³/.]*)?"
@@ -46,6 +50,15 @@ def spelling(predicate: Column) -> Column:
     return F.lower(F.regexp_replace(predicate, r"[\s _\-]+", ""))
 
 
+def _spellings(registry: DataFrame) -> DataFrame:
+    """column, value_type and key, each spelling of a predicate; a registry with too many to be sent to every task is refused."""
+    aliases = F.concat(F.array("predicate"), F.coalesce(F.col("aliases"), F.array().cast("array<string>")))
+    names = registry.select(F.col("predicate").alias("column"), F.col("value_type"), F.explode(F.array_distinct(F.transform(aliases, spelling))).alias("key")).where("key is not null")
+    if names.limit(MOST_SPELLINGS + 1).count() > MOST_SPELLINGS:
+        raise ValueError(f"the registry has more than {MOST_SPELLINGS} spellings of predicates")
+    return names
+
+
 def _number_sql(text: str) -> str:
     return f"try_cast(replace(regexp_extract({text}, '^\\\\s*({_NUMBER}){_UNIT}\\\\s*$', 1), ',', '.') as double)"
 
@@ -89,11 +102,11 @@ def typed_cells(assertions: DataFrame, registry: DataFrame, subject: str = "subj
     counts for each. JSON nested more than 1,000 levels or with a string above 20 million characters counts as unreadable: the JVM's
     parser refuses it.
     """
-    names = registry.select(F.col("predicate").alias("column"), F.col("value_type"), F.explode(F.array_distinct(F.transform(F.concat(F.array("predicate"), F.coalesce(F.col("aliases"), F.array().cast("array<string>"))), spelling))).alias("key"))
+    names = _spellings(registry)
     rank = F.struct(*[F.col(c).alias(f"r{i}") for i, c in enumerate(order)], F.col(value).alias("text"))
     rows = assertions.select(F.col(subject).cast("string").alias("subject"), spelling(F.col(predicate)).alias("key"), F.col(value).alias("t"), rank.alias("rank"))
     rows = rows.where("subject is not null and key is not null and t is not null")
-    rows = rows.join(F.broadcast(names), "key").drop("key")  # at most MOST_PREDICATES rows, see registry_columns
+    rows = rows.join(F.broadcast(names), "key").drop("key")  # at most MOST_SPELLINGS rows
     rows = opened(rows)
     rows = rows.withColumn("v2", F.expr("if(value_type <> 'record', coalesce(try_variant_get(v1, '$.value', 'variant'), v1), v1)"))
     rows = rows.withColumn("kind", F.expr("regexp_extract(schema_of_variant(v2), '^[A-Z]+', 0)"))
@@ -150,29 +163,44 @@ def characteristic_sets(cells: DataFrame) -> DataFrame:
     return sets.withColumn("signature", F.concat_ws("\n", F.array_sort(F.map_keys("cells"))))
 
 
-def wide_table(assertions: DataFrame, registry: DataFrame, subject: str = "subjectId", predicate: str = "predicate", value: str = "value", order: tuple[str, ...] = (), dense: int = 6) -> DataFrame:
+def by_frequency(assertions: DataFrame, registry: DataFrame, predicate: str = "predicate") -> list[str]:
+    """The registry's predicates, the rarest first, ties by name; the driver gets one number per predicate."""
+    spelled = assertions.select(spelling(F.col(predicate)).alias("key")).groupBy("key").agg(F.count("*").alias("n"))
+    names = _spellings(registry).select("column", "key")
+    counts = names.join(spelled, "key").groupBy("column").agg(F.sum("n").alias("n")).collect()
+    met = {r.column: r.n for r in counts}
+    return sorted(registry_columns(registry), key=lambda c: (met.get(c, 0), c))
+
+
+def wide_table(assertions: DataFrame, registry: DataFrame, subject: str = "subjectId", predicate: str = "predicate", value: str = "value", order: tuple[str, ...] = (), tables: int = TABLES) -> DataFrame:
     """One row per subject that has a filled cell, and one typed column per predicate of the registry.
 
     Of several assertions that fill the same cell the first by ``order``, then by the value's text, is taken; repeated
     rows change nothing. Subjects without a filled cell have no row; an empty input gives an empty table with all columns.
-    ``dense`` is the number of most frequent signatures that get a table of their own.
+    ``tables`` is the number of dense tables that the signatures are merged into.
     """
     columns = registry_columns(registry)
     clash = {c.lower() for c in columns} & {subject.lower()}
     if clash or len({c.lower() for c in columns}) < len(columns):
         raise ValueError("two columns of the wide table would have the same name")
+    if tables < 1:
+        raise ValueError("there has to be a dense table")
     sets = characteristic_sets(typed_cells(assertions, registry, subject, predicate, value, order))
-    # The subject splits the range of a signature that very many subjects have.
-    sets = written(sets.repartitionByRange("signature", "subject").sortWithinPartitions("signature"))
-    frequent = [r.signature for r in sets.groupBy("signature").count().orderBy(F.desc("count"), "signature").limit(dense).collect()]
-
-    def table(rows: DataFrame, names: list[str]) -> DataFrame:
-        cell = lambda c: F.col("cells")[F.lit(c)][columns[c]].cast(COLUMN_TYPES[columns[c]]).alias(c)
-        return rows.select(F.col("subject").alias(subject), *[cell(c) for c in names])
-
-    rest = table(sets.where(~F.col("signature").isin(frequent)) if frequent else sets, list(columns))
-    parts = [table(sets.where(F.col("signature") == s), s.split("\n")) for s in frequent]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts, rest).select(subject, *columns)
+    ranked = by_frequency(assertions, registry, predicate)
+    tables = max(1, min(tables, len(ranked)))
+    first = [-(-k * len(ranked) // tables) for k in range(tables)]  # rank of the rarest attribute that a table has
+    number = {c: max(k for k in range(tables) if first[k] <= r) for r, c in enumerate(ranked)}
+    cell = lambda c: F.col("cells")[F.lit(c)][columns[c]].cast(COLUMN_TYPES[columns[c]])
+    where = F.create_map(*[x for c, k in number.items() for x in (F.lit(c), F.lit(k))]) if number else F.create_map().cast("map<string,int>")
+    stored = {c: f"c{i}" for i, c in enumerate(columns)}
+    rows = sets.select("subject", "signature", F.array_min(F.transform(F.map_keys("cells"), lambda p: where[p])).alias("table"), *[cell(c).alias(k) for c, k in stored.items()])
+    rows = written(rows.sortWithinPartitions("table", "signature"), "table")
+
+    def dense(k: int) -> DataFrame:
+        own = [c for c in columns if number[c] >= k]
+        return rows.where(F.col("table") == k).select(F.col("subject").alias(subject), *[F.col(stored[c]).alias(c) for c in own])
+
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), map(dense, range(tables))).select(subject, *columns)
 
 
 def filled_cells(wide: DataFrame, subject: str = "subjectId") -> DataFrame:

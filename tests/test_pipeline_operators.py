@@ -57,8 +57,8 @@ def test_cells(spark, registry):
 def test_wide_rows(spark, registry):
     data = [("a", "depth", "1", 3), ("a", "depth", "2", 1), ("a", "depth", "2", 1), ("a", "days", "4", 1), ("b", "light", '"x"', 1), (None, "depth", "1", 1), ("c", "depth", '"?"', 1), ("d", "light", json.dumps("y" * 200_000), 1)] + [("hot", "days", str(n), n) for n in range(300)]
     df = spark.createDataFrame(data, "subjectId string, predicate string, value string, t int")
-    for dense in (0, 1, 12):
-        wide = wide_table(df, registry, order=("t",), dense=dense)
+    for tables in (1, 2, 7, 12):
+        wide = wide_table(df, registry, order=("t",), tables=tables)
         assert wide.columns == ["subjectId", "bloom", "days", "depth", "edible", "light", "ph", "stages"]
         got = {r.subjectId: (r.depth, r.days, r.light and len(r.light)) for r in wide.collect()}
         assert got == {"a": (2.0, 4, None), "b": (None, None, 1), "d": (None, None, 200_000), "hot": (None, 0, None)}
