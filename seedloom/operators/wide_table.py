@@ -208,3 +208,25 @@ def filled_cells(wide: DataFrame, subject: str = "subjectId") -> DataFrame:
     names = [c for c in wide.columns if c != subject]
     cells = F.array(*[F.when(F.col(f"`{c}`").isNotNull(), F.lit(c)) for c in names])
     return wide.select(subject, F.explode(F.array_compact(cells)).alias("predicate"))
+
+
+def typed_values(wide: DataFrame, registry: DataFrame, subject: str = "subjectId") -> DataFrame:
+    """The filled cells of a wide table with their values: subject, predicate, and a column for each kind of value, all NULL but the fitting ones.
+
+    number, whole, flag, said (text), low and high (range), begins and ends (window), members (of a record).
+    """
+    # The columns of each value type, from the cell.
+    kinds = {
+        "number": {"number": "{}"}, "integer": {"whole": "{}"}, "boolean": {"flag": "{}"}, "text": {"said": "{}"}, "range": {"low": "{}.min", "high": "{}.max"},
+        "window": {"begins": "{}.from", "ends": "{}.to"}, "record": {"members": "cast(coalesce(json_array_length({0}), size(json_object_keys({0}))) as bigint)"},
+    }
+    types = {"number": "double", "whole": "bigint", "flag": "boolean", "said": "string", "low": "double", "high": "double", "begins": "string", "ends": "string", "members": "bigint"}
+
+    def cell(column: str, kind: str) -> Column:
+        said = kinds[kind]
+        parts = [F.expr(said[n].format(f"`{column}`")).alias(n) if n in said else F.lit(None).cast(t).alias(n) for n, t in types.items()]
+        return F.when(F.col(f"`{column}`").isNotNull(), F.struct(F.lit(column).alias("predicate"), *parts))
+
+    columns = registry_columns(registry)
+    cells = F.array_compact(F.array(*[cell(c, k) for c, k in columns.items()]))
+    return wide.select(subject, F.inline(cells))

@@ -9,7 +9,7 @@ from seedloom.operators.intervals import circular_periods_and_gaps
 from seedloom.operators.nested_tables import flat_paths
 from seedloom.operators.orphans import PendingOrphans, orphan_state, parent_rows, referring_rows
 from seedloom.operators.snapshot_diff import snapshot_changes
-from seedloom.operators.wide_table import filled_cells, wide_table
+from seedloom.operators.wide_table import filled_cells, typed_values, wide_table
 from seedloom.sources.tables import read_table
 
 
@@ -24,6 +24,11 @@ def p1_wide(spark: SparkSession, sf: str) -> DataFrame:
     return wide_table(assertions, read_table(spark, sf, "predicate_registry"), order=("received_at", "id"))
 
 
+def p1_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """The typed value of every filled cell, a column for each kind of value; records by the number of their members."""
+    return typed_values(p1_wide(spark, sf), read_table(spark, sf, "predicate_registry"))
+
+
 def p3_changes(spark: SparkSession, sf: str) -> DataFrame:
     """Typed changes of both snapshot tables, with the columns that differ."""
     parts = []
@@ -80,4 +85,4 @@ def p7_found(spark: SparkSession, sf: str) -> DataFrame:
     return flat_paths(assertions, read_table(spark, sf, "evidence_references", "id", "rights"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_wide, p3_found, p3_changes, p4_found, p4_counts, p5_found, p7_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_wide, p1_cells, p3_found, p3_changes, p4_found, p4_counts, p5_found, p7_found)}

@@ -5,11 +5,11 @@ from __future__ import annotations
 _SPELL = "regexp_replace(lower({}), '[\\s _-]', '', 'g')"
 
 # p1: the JSON value is unwrapped, then each type has its own test.
-_P1 = f"""
+_P1_CHECKED = f"""
 WITH names AS (
   SELECT predicate AS name, value_type, unnest(list_append(coalesce(aliases, []), predicate)) AS alias FROM predicate_registry
 ), typed AS (
-  SELECT a.subjectId, n.name, n.value_type, CASE WHEN json_valid(a.value) THEN a.value::JSON END AS j0
+  SELECT a.subjectId, n.name, n.value_type, a.received_at, a.id, a.value AS written, CASE WHEN json_valid(a.value) THEN a.value::JSON END AS j0
   FROM assertions a JOIN (SELECT DISTINCT name, value_type, {_SPELL.format('alias')} AS key FROM names) n ON {_SPELL.format('a.predicate')} = n.key
   WHERE a.subjectId IS NOT NULL AND a.value IS NOT NULL
 ), unwrapped AS (
@@ -23,19 +23,51 @@ WITH names AS (
     CASE WHEN kind IN ('BIGINT', 'UBIGINT', 'DOUBLE', 'VARCHAR', 'HUGEINT') THEN TRY_CAST(replace(regexp_extract(s, '^([+-]?[0-9]+(?:[.,][0-9]+)?(?:[eE][+-]?[0-9]+)?)\\s*(?:[%°µ\\p{{L}}][\\p{{L}}/]*)?$', 1), ',', '.') AS DOUBLE) END AS number
   FROM said
 )
-SELECT DISTINCT subjectId, name AS predicate FROM checked
-WHERE NOT nothing AND CASE value_type
+"""
+_FILLS = """WHERE NOT nothing AND CASE value_type
   WHEN 'number' THEN number IS NOT NULL
   WHEN 'integer' THEN number IS NOT NULL AND number = floor(number)
   WHEN 'boolean' THEN kind = 'BOOLEAN' OR (kind = 'VARCHAR' AND lower(s) IN ('y', 'n', 'yes', 'no', 'true', 'false', 't', 'f'))
   WHEN 'text' THEN kind = 'VARCHAR'
   WHEN 'range' THEN (kind = 'OBJECT' AND (j->>'$.min' IS NOT NULL OR j->>'$.max' IS NOT NULL)) OR (kind = 'ARRAY' AND json_array_length(j) > 0 AND TRY_CAST(j->>'$[0]' AS DOUBLE) IS NOT NULL)
-    OR (kind = 'VARCHAR' AND regexp_matches(s, '^[+-]?[0-9]+(?:[.,][0-9]+)?\\s*(?:-|–|—|to)\\s*[+-]?[0-9]+(?:[.,][0-9]+)?\\s*\\p{{L}}*$'))
-  WHEN 'window' THEN (kind = 'OBJECT' AND (regexp_matches(coalesce(j->>'$.from', ''), '^[0-9]{{1,2}}-[0-9]{{1,2}}$') OR json_type(j, '$.start.month') IN ('BIGINT', 'UBIGINT')))
-    OR (kind = 'VARCHAR' AND regexp_matches(s, '^[0-9]{{1,2}}-[0-9]{{1,2}}/[0-9]{{1,2}}-[0-9]{{1,2}}$'))
+    OR (kind = 'VARCHAR' AND regexp_matches(s, '^[+-]?[0-9]+(?:[.,][0-9]+)?\\s*(?:-|–|—|to)\\s*[+-]?[0-9]+(?:[.,][0-9]+)?\\s*\\p{L}*$'))
+  WHEN 'window' THEN (kind = 'OBJECT' AND (regexp_matches(coalesce(j->>'$.from', ''), '^[0-9]{1,2}-[0-9]{1,2}$') OR json_type(j, '$.start.month') IN ('BIGINT', 'UBIGINT')))
+    OR (kind = 'VARCHAR' AND regexp_matches(s, '^[0-9]{1,2}-[0-9]{1,2}/[0-9]{1,2}-[0-9]{1,2}$'))
   WHEN 'record' THEN (kind = 'OBJECT' AND len(json_keys(j)) > 0) OR (kind = 'ARRAY' AND json_array_length(j) > 0)
-END
-"""
+END"""
+_P1 = f"{_P1_CHECKED} SELECT DISTINCT subjectId, name AS predicate FROM checked {_FILLS}"
+
+# The value of each cell: that of the first filling assertion, by kind of value; records by the number of their members.
+_AMOUNT = "TRY_CAST(replace(regexp_extract({}, '^([+-]?[0-9]+(?:[.,][0-9]+)?)\\s*\\p{{L}}*$', 1), ',', '.') AS DOUBLE)"
+_SPAN = "TRY_CAST(replace(regexp_extract(s, '^([+-]?[0-9]+(?:[.,][0-9]+)?)\\s*(?:-|–|—|to)\\s*([+-]?[0-9]+(?:[.,][0-9]+)?)\\s*\\p{{L}}*$', {}), ',', '.') AS DOUBLE)"
+_DAY = "lpad({}, 2, '0') || '-' || lpad({}, 2, '0')"
+
+
+def _split(text: str) -> str:
+    """SQL for MM-DD of text like 3-1."""
+    return _DAY.format(f"split_part({text}, '-', 1)", f"split_part({text}, '-', 2)")
+
+
+def _edge(first: str, second: str, group: int) -> str:
+    """SQL for MM-DD of an edge of a window: an object's text or month and day, or part of a text."""
+    said = f"(j->>'$.{first}')"
+    parts = _DAY.format(f"(j->>'$.{second}.month')", f"(j->>'$.{second}.day')")
+    return f"CASE WHEN kind = 'OBJECT' AND {said} IS NOT NULL THEN {_split(said)} WHEN kind = 'OBJECT' THEN {parts} ELSE {_split(f'''split_part(s, '/', {group})''')} END"
+
+
+def _bound(member: str, place: int) -> str:
+    """SQL for a bound of a range: an object's member, an element of a list, or part of a text."""
+    said, element = f"(j->>'$.{member}')", f"(j->>'$[{place}]')"
+    return f"CASE kind WHEN 'OBJECT' THEN {_AMOUNT.format(said)} WHEN 'ARRAY' THEN {_AMOUNT.format(element)} ELSE {_SPAN.format(place + 1)} END"
+
+
+_P1_CELLS = f"""{_P1_CHECKED} SELECT subjectId, name AS predicate,
+  CASE WHEN value_type = 'number' THEN number END AS number, CASE WHEN value_type = 'integer' THEN number::BIGINT END AS whole,
+  CASE WHEN value_type = 'boolean' THEN lower(s) IN ('y', 'yes', 'true', 't') END AS flag, CASE WHEN value_type = 'text' THEN s END AS said,
+  CASE WHEN value_type = 'range' THEN {_bound('min', 0)} END AS low, CASE WHEN value_type = 'range' THEN {_bound('max', 1)} END AS high,
+  CASE WHEN value_type = 'window' THEN {_edge('from', 'start', 1)} END AS begins, CASE WHEN value_type = 'window' THEN {_edge('to', 'end', 2)} END AS ends,
+  CASE WHEN value_type = 'record' THEN CASE kind WHEN 'OBJECT' THEN len(json_keys(j)) ELSE json_array_length(j) END END::BIGINT AS members
+FROM checked {_FILLS} QUALIFY row_number() OVER (PARTITION BY subjectId, name ORDER BY received_at NULLS FIRST, id NULLS FIRST, written) = 1"""
 
 
 def _changes(table: str, columns: str) -> str:
@@ -120,6 +152,7 @@ UNION ALL SELECT DISTINCT 'evidence_references', id, 'rights.licenceId' FROM evi
 
 SQL = {
     "p1_found": _P1,
+    "p1_cells": _P1_CELLS,
     "p3_found": _P3,
     "p4_found": _P4,
     "p4_counts": f"SELECT table_name, field, period, reason, count(*) AS open_references FROM ({_P4}) GROUP BY ALL",
