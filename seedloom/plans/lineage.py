@@ -1,7 +1,7 @@
 """Cutting lineage through the folder that all executors share.
 
-The folder is ``spark.checkpoint.dir`` of the session. Only where it is unset (tests, local runs) a
-temporary folder of this machine is made and set for the session's lifetime.
+The folder is ``spark.checkpoint.dir`` of the session. Where it is unset, a local session (tests) gets a
+temporary folder of this machine for its lifetime; on a cluster that is an error.
 """
 
 from __future__ import annotations
@@ -20,6 +20,8 @@ def shared_folder(spark: SparkSession) -> str:
     if not folder:
         folder = spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="seedloom_")
         atexit.register(shutil.rmtree, folder[len("file://"):], ignore_errors=True)
     if not spark.sparkContext.getCheckpointDir():
@@ -42,3 +44,30 @@ def written(df: DataFrame, *partition_by: str) -> DataFrame:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+def _file_system(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def list_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder of any file system; none if it isn't there."""
+    system, at = _file_system(spark, folder)
+    return [s.getPath().getName() for s in system.listStatus(at)] if system.exists(at) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file of any file system."""
+    return "\n".join(r.value for r in spark.read.option("lineSep", "\n").text(path).collect())
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file that appears whole, by a rename; a file that is there is refused."""
+    system, at = _file_system(spark, path)
+    _, draft = _file_system(spark, f"{path}.{uuid.uuid4().hex}.draft")
+    out = system.create(draft)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if system.exists(at) or not system.rename(draft, at):
+        system.delete(draft, False)
+        raise FileExistsError(path)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seedloom.operators.intervals import circular_periods_and_gaps
 from seedloom.operators.nested_tables import flat_paths
-from seedloom.operators.orphans import PendingOrphans, orphan_state, parent_rows, referring_rows
+from seedloom.operators.orphans import orphan_state, parent_rows, periodic_counts, referring_rows
 from seedloom.operators.snapshot_diff import snapshot_changes
 from seedloom.operators.wide_table import filled_cells, typed_values, wide_table
 from seedloom.sources.tables import read_table
@@ -43,7 +45,8 @@ def p3_found(spark: SparkSession, sf: str) -> DataFrame:
     return p3_changes(spark, sf).drop("columns")
 
 
-def _orphans(spark: SparkSession, sf: str) -> PendingOrphans:
+def _references(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """All references of the catalogue and all rows that they may name."""
     # Reference fields and the tables they name.
     fields = {
         "assertions": {"evidenceReferenceIds": "evidence_references", "reviewId": "reviews"},
@@ -57,17 +60,20 @@ def _orphans(spark: SparkSession, sf: str) -> PendingOrphans:
     for table in sorted({t for named in fields.values() for t in named.values()}):
         rows = parent_rows(read_table(spark, sf, table), table)
         parents = rows if parents is None else parents.unionByName(rows)
-    return orphan_state(references, parents)
+    return references, parents
 
 
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     """Every open reference with its month and reason."""
-    return _orphans(spark, sf).open_references().select("table_name", "field", "id", "ref_id", "period", "reason")
+    return orphan_state(*_references(spark, sf)).open_references().select("table_name", "field", "id", "ref_id", "period", "reason")
 
 
 def p4_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """Open references per table, field, month and reason."""
-    return _orphans(spark, sf).counts()
+    """Open references per table, field, month and reason as they stood at the start of every year, deletions at their own time."""
+    references, parents = _references(spark, sf)
+    times = references.select(F.col("received_at").alias("t")).unionByName(parents.select(F.col("parent_received_at").alias("t"))).unionByName(parents.select(F.col("deleted_at").alias("t")))
+    last = times.agg(F.min(F.year("t")).alias("a"), F.max(F.year("t")).alias("b")).first()
+    return periodic_counts(references, parents, [dt.datetime(y, 1, 1) for y in range(last.a + 1, last.b + 2)])
 
 
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:

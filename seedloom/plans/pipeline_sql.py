@@ -108,14 +108,31 @@ def _orphans(table: str, field: str, target: str, reference: str) -> str:
     WHERE a.ref_id IS NOT NULL AND (p.id IS NULL OR p.deleted_at IS NOT NULL OR p.received_at > a.received_at)"""
 
 
-_P4 = " UNION ALL ".join(
-    [
-        _orphans("assertions", "evidenceReferenceIds", "evidence_references", "unnest(evidenceReferenceIds)"),
-        _orphans("assertions", "reviewId", "reviews", "reviewId"),
-        _orphans("cultivation_rules", "plantConceptId", "plant_concepts", "plantConceptId"),
-        _orphans("evidence_references", "sourceId", "sources", "sourceId"),
-    ]
+_P4_EDGES = [
+    ("assertions", "evidenceReferenceIds", "evidence_references", "unnest(evidenceReferenceIds)"),
+    ("assertions", "reviewId", "reviews", "reviewId"),
+    ("cultivation_rules", "plantConceptId", "plant_concepts", "plantConceptId"),
+    ("evidence_references", "sourceId", "sources", "sourceId"),
+]
+_P4 = " UNION ALL ".join(_orphans(*e) for e in _P4_EDGES)
+
+
+def _as_of(table: str, field: str, target: str, reference: str) -> str:
+    return f"""
+    SELECT y.t, '{table}' AS table_name, '{field}' AS field, strftime(a.received_at, '%Y-%m') AS period,
+      CASE WHEN p.id IS NULL OR p.received_at >= y.t THEN 'missing' WHEN p.deleted_at < y.t THEN 'deleted' WHEN p.received_at > a.received_at THEN 'late' END AS reason, a.id, a.ref_id
+    FROM years y JOIN (SELECT DISTINCT id, received_at, {reference} AS ref_id FROM {_FIRST.format(table)}) a ON a.received_at < y.t LEFT JOIN {_FIRST.format(target)} p ON p.id = a.ref_id
+    WHERE a.ref_id IS NOT NULL"""
+
+
+_TIMES = " UNION ALL ".join(
+    [f"SELECT received_at AS t FROM {t}" for t in ("assertions", "cultivation_rules", "evidence_references", "reviews", "plant_concepts", "sources")]
+    + [f"SELECT deleted_at FROM {t}" for t in ("evidence_references", "reviews", "plant_concepts", "sources")]
 )
+_P4_COUNTS = f"""
+WITH years AS (SELECT make_timestamp(y, 1, 1, 0, 0, 0) AS t FROM (SELECT unnest(range(min(year(t)) + 1, max(year(t)) + 2)) AS y FROM ({_TIMES})))
+SELECT strftime(t, '%Y-%m-%d') AS as_of, table_name, field, period, reason, count(*) AS open_references FROM ({" UNION ALL ".join(_as_of(*e) for e in _P4_EDGES)}) WHERE reason IS NOT NULL GROUP BY ALL
+"""
 
 # p5: months are marked one by one; a run starts where the month before isn't in the same state.
 _P5 = """
@@ -155,7 +172,7 @@ SQL = {
     "p1_cells": _P1_CELLS,
     "p3_found": _P3,
     "p4_found": _P4,
-    "p4_counts": f"SELECT table_name, field, period, reason, count(*) AS open_references FROM ({_P4}) GROUP BY ALL",
+    "p4_counts": _P4_COUNTS,
     "p5_found": _P5,
     "p7_found": _P7,
 }

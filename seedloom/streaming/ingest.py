@@ -30,13 +30,14 @@ def stream_first_ids(stream: DataFrame, id: str, time: str, delay: str = "1 day"
 def stream_orphans(references: DataFrame, parents: DataFrame, state: PendingOrphans, checkpoint: str) -> StreamingQuery:
     """Keeps a pending-orphan state up to date from streams of references and parents (columns as the state's batches have).
 
-    Both are carried by one stream of batches, in which parents have a NULL id.
+    Both are carried by one stream of batches, in which parents have a NULL id. The state's folder and the stream's checkpoint belong
+    together: after a restart with both, batches that were applied are skipped by their number and all others applied once.
     """
     kind = "array<struct<field:string,target:string,ref_id:string>>"
     refs = references.select("table_name", "id", "received_at", "refs", F.lit(None).cast("string").alias("target"), F.lit(None).cast("string").alias("ref_id"), F.lit(None).cast("timestamp_ntz").alias("parent_received_at"), F.lit(None).cast("timestamp_ntz").alias("deleted_at"))
     ups = parents.select(F.lit(None).cast("string").alias("table_name"), F.lit(None).cast("string").alias("id"), F.lit(None).cast("timestamp_ntz").alias("received_at"), F.lit(None).cast(kind).alias("refs"), "target", "ref_id", "parent_received_at", "deleted_at")
 
     def batch(rows: DataFrame, number: int) -> None:
-        state.apply(rows.where("id is not null").select("table_name", "id", "received_at", "refs"), rows.where("id is null").select("target", "ref_id", "parent_received_at", "deleted_at"))
+        state.apply(rows.where("id is not null").select("table_name", "id", "received_at", "refs"), rows.where("id is null").select("target", "ref_id", "parent_received_at", "deleted_at"), number=number)
 
     return refs.unionByName(ups).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -32,8 +32,12 @@ def test_orphan_stream(spark, tmp_path):
     ups = "target string, ref_id string, parent_received_at timestamp_ntz, deleted_at timestamp_ntz"
     spark.createDataFrame([("t", "1", t(1), [("f", "p", "a"), ("f", "p", "b")])], refs).write.parquet(str(tmp_path / "refs"))
     spark.createDataFrame([("p", "a", t(2), None)], ups).write.parquet(str(tmp_path / "ups"))
-    state = PendingOrphans(spark)
+    folder = f"file://{tmp_path}/orphans"
     read = lambda name, schema: spark.readStream.schema(schema).parquet(str(tmp_path / name))
-    for _ in range(2):
+    for extra in (None, ("p", "b", t(3), None)):
+        if extra:
+            spark.createDataFrame([extra], ups).write.mode("append").parquet(str(tmp_path / "ups"))
+        state = PendingOrphans(spark, folder)  # a new driver on the same folders
         stream_orphans(read("refs", refs), read("ups", ups), state, str(tmp_path / "state")).awaitTermination(120)
-        assert sorted((r.ref_id, r.reason) for r in state.open_references().collect()) == [("a", "late"), ("b", "missing")]
+        assert sorted((r.ref_id, r.reason) for r in state.open_references().collect()) == [("a", "late"), ("b", "late" if extra else "missing")]
+    assert PendingOrphans(spark, folder).number == state.number > 0
