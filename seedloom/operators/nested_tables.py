@@ -146,12 +146,14 @@ def _walk(text: str, past: int, objects: bool = True) -> Iterator[tuple[str, str
             stack.extend((f"{path}[{i}]", owner, i, x, level + 1) for i, x in enumerate(v))
 
 
-def _deeper(past: int, objects: bool):
+def _deeper(levels: int, objects: bool):
+    """Walks rows (id, text, whether the JVM took no part in it): what lies below ``levels``, or everything."""
+
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
-            rows = [(i, *node) for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for node in _walk(t, past, objects)]
+            rows = [(i, *node) for i, t, whole in zip(*(c.to_pylist() for c in batch.columns), strict=True) for node in _walk(t, -1 if whole else levels, objects)]
             columns = list(zip(*rows, strict=True)) or [[]] * 5
             yield pa.RecordBatch.from_arrays(
                 [pa.array(columns[k], t) for k, t in enumerate((pa.string(), pa.string(), pa.string(), pa.int32(), pa.string()))],
@@ -195,9 +197,8 @@ def nested_objects(df: DataFrame, id: str = "id", value: str = "value", levels:
     flat = state.selectExpr("id", "inline_outer(found)").where("path is not null")
     # What may nest deeper is looked at once more.
     columns = "id string, path string, parent_path string, position int, object string"
-    deep = base.where((opening > levels) & ~beyond).mapInArrow(_deeper(levels, objects), columns)
-    whole = base.where(beyond).mapInArrow(_deeper(-1, objects), columns)
-    return flat.unionByName(deep).unionByName(whole)
+    rest = base.where((opening > levels) | beyond).select("id", "t", beyond.alias("whole"))
+    return flat.unionByName(rest.mapInArrow(_deeper(levels, objects), columns))
 
 
 def list_elements(df: DataFrame, elements: str | Column, path: str, id: str = "id") -> DataFrame:
