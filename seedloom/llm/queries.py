@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from seedloom.llm.format_duplicates import collapsed, format_duplicates
 from seedloom.llm.leakage import leaks
 from seedloom.llm.packing import containers
 from seedloom.llm.residue import residue_documents
+from seedloom.llm.residue_cases import HELD_OUT_GENUINE, HELD_OUT_RESIDUE
 from seedloom.llm.visual_text import same_looking
 from seedloom.sources.tables import read_table
 
@@ -47,7 +49,21 @@ def p10_found(spark: SparkSession, sf: str) -> DataFrame:
     return residue_documents(read_table(spark, sf, "documents", "doc_id", "text")).select("doc_id").distinct()
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p6_found, p6_copies, p8_containers, p9_found, p9_leaks, p10_found)}
+def p10_held_out(spark: SparkSession, sf: str) -> DataFrame:
+    """Cases that no exemplar is made from, among the documents: how many there are, and whether nine tenths of each kind are told rightly."""
+    cases = [(-1 - k, text, k < len(HELD_OUT_RESIDUE)) for k, text in enumerate(HELD_OUT_RESIDUE + HELD_OUT_GENUINE)]
+    held = spark.createDataFrame(cases, "doc_id bigint, text string, residue boolean")
+    documents = read_table(spark, sf, "documents", "doc_id", "text").unionByName(held.select("doc_id", "text"))
+    marked = residue_documents(documents).where("doc_id < 0").select("doc_id", F.lit(True).alias("marked"))
+    told = held.join(marked, "doc_id", "left").select("residue", F.coalesce("marked", F.lit(False)).alias("marked"))
+    right = F.count_if(F.col("residue") & F.col("marked"))
+    return told.agg(
+        F.count_if("residue").alias("residue"), F.count_if(~F.col("residue")).alias("genuine"),
+        (right >= 0.9 * F.count_if("residue")).alias("found"), (right >= 0.9 * F.count_if("marked")).alias("rightly"), (F.count_if(~F.col("residue") & ~F.col("marked")) >= 0.9 * F.count_if(~F.col("residue"))).alias("kept"),
+    )
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p6_found, p6_copies, p8_containers, p9_found, p9_leaks, p10_found, p10_held_out)}
 
 _KEY = "regexp_replace(lower(nfc_normalize({})), '[^\\p{{L}}\\p{{N}}]', '', 'g')"
 _COPIES = (
@@ -68,6 +84,7 @@ _WORDS = "list_filter(regexp_split_to_array(lower(nfc_normalize(text)), '[^\\p{L
 _RUNS = "SELECT {id}, list_aggregate(w[k:k+11], 'string_agg', ' ') AS run FROM (SELECT {id}, w, unnest(range(1, len(w) - 10)) AS k FROM (SELECT {id}, {words} AS w FROM {table}))"
 
 SQL = {
+    "p10_held_out": f"SELECT {len(HELD_OUT_RESIDUE)}::BIGINT AS residue, {len(HELD_OUT_GENUINE)}::BIGINT AS genuine, true AS found, true AS rightly, true AS kept",
     "p2_found": f"WITH f AS (SELECT id, subjectId, value, {_LOOK} AS form FROM localized_names WHERE subjectId IS NOT NULL AND value IS NOT NULL) SELECT DISTINCT a.id AS id_a, b.id AS id_b FROM f a JOIN f b ON a.subjectId = b.subjectId AND a.form = b.form WHERE a.id < b.id AND a.value <> b.value",
     "p6_found": f"SELECT id_first, id AS id_copy FROM ({_COPIES}) WHERE id <> id_first",
     "p6_copies": f"SELECT id_first AS id, count(*) AS copies FROM ({_COPIES}) GROUP BY id_first",

@@ -237,8 +237,24 @@ def test_residue(spark):
 
 def test_other_exemplars(spark):
     df = spark.createDataFrame([(1, "Under construction, come back soon."), (2, "Please enable JavaScript.")], "doc_id bigint, text string")
-    found = residue.residue_coverage(df, phrases=["Under construction, come back soon."], vocabularies=[], mashes=[], genuine=[])
-    assert {r.doc_id: r.coverage >= 0.8 for r in found.collect()} == {1: True, 2: False}
+    found = residue.residue_coverage(df, kinds={"note": ["Under construction, come back soon."]}, genuine=[])
+    assert {r.doc_id: r.coverage >= residue.COVERED for r in found.collect()} == {1: True, 2: False}
+
+
+def test_genuine_talk_keeps_a_text(spark):
+    texts = ["Glaze the pot with ⟦slot⟧.", "Brush the pot with {{ colour }} before you fire it, the kiln template wants it."]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    kinds = {"placeholder": ["⟦slot⟧"]}
+    marked = lambda genuine: {r.doc_id for r in residue.residue_coverage(df, kinds=kinds, genuine=genuine).collect() if r.coverage >= residue.COVERED}
+    assert marked([]) == {0, 1}
+    assert marked(["Brush the pot with ⟦slot⟧ before you fire it in the kiln; the template wants it."]) == {0}
+
+
+def test_cases_are_told_apart(spark, data):
+    from seedloom.llm.queries import QUERIES
+
+    row = QUERIES["p10_held_out"](spark, data).first()
+    assert row.found and row.rightly and row.kept
 
 
 def test_queries(spark, data):
