@@ -265,13 +265,13 @@ def document_frequencies(documents: DataFrame, text: str = "text") -> tuple[int,
     return n, counts
 
 
-def residue_coverage(documents: DataFrame, id: str = "doc_id", text: str = "text", **exemplars) -> DataFrame:
-    """Coverage by residue of every record: id, coverage from 0 to 1.
+def residue_coverage(documents: DataFrame, id: str = "doc_id", text: str = "text", corpus: DataFrame | None = None, **exemplars) -> DataFrame:
+    """Coverage by residue of every record: id, coverage from 0 to 1. Document frequencies are those of ``corpus``, or of the records.
 
     NULL and empty texts have coverage 0; coverage below COVERED may be given as 0. Repeated rows give repeated rows; other columns are left
     out. An empty table gives no rows. Exemplars may be given as ``kinds``, lists of texts by kind, and ``genuine``.
     """
-    n, counts = document_frequencies(documents, text)
+    n, counts = document_frequencies(documents if corpus is None else corpus, text)
     shared = documents.sparkSession.sparkContext.broadcast((n, counts))  # SLOTS numbers, whatever the size of the input
     kind = documents.schema[id].dataType
 
@@ -286,6 +286,6 @@ def residue_coverage(documents: DataFrame, id: str = "doc_id", text: str = "text
     return documents.select(F.col(id).alias("id"), F.col(text).alias("text")).mapInArrow(run, f"id {kind.simpleString()}, coverage double").withColumnRenamed("id", id)
 
 
-def residue_documents(documents: DataFrame, id: str = "doc_id", text: str = "text", covered: float = COVERED) -> DataFrame:
+def residue_documents(documents: DataFrame, id: str = "doc_id", text: str = "text", covered: float = COVERED, corpus: DataFrame | None = None) -> DataFrame:
     """Ids of the records to exclude, with their coverage."""
-    return residue_coverage(documents, id, text).where(F.col("coverage") >= covered)
+    return residue_coverage(documents, id, text, corpus).where(F.col("coverage") >= covered)
