@@ -8,16 +8,18 @@ from __future__ import annotations
 
 import hashlib
 import struct
+import uuid
 import zlib
 from dataclasses import dataclass
 from functools import reduce
 from pathlib import Path
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seedloom.functions.canonical_json import SAFE_INTEGER, canonical_bytes
-from seedloom.plans.lineage import written
+from seedloom.operators.ordering import running_sum
+from seedloom.plans.lineage import make_folder, write_text
 
 #: Uncompressed bytes of a chunk, so that the compressed chunk stays near 1 MiB for usual records, and the most that it may have.
 CHUNK_BYTES, MOST_COMPRESSED = 4 << 20, 2 << 20
@@ -67,19 +69,8 @@ def compress(data: bytes, entry_count: int) -> Artifact:
 
 
 def assign_chunks(df: DataFrame, key: str, size: str, limit: int) -> DataFrame:
-    """``df`` with ``chunk``: the running size before a row, in order of ``key`` (unique), divided by ``limit``.
-
-    The running sum is cut into ranges of the key: sums of ranges are carried over, so no task sees more than its range. The
-    ranges are written once, with their numbers, so that both readers see the same ones.
-    """
-    part = written(df.repartitionByRange(F.col(key)).withColumn("__part", F.spark_partition_id()))
-    totals = part.groupBy("__part").agg(F.sum(size).alias("__sum"))
-    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
-    totals = totals.withColumn("__before", F.coalesce(F.sum("__sum").over(before), F.lit(0))).drop("__sum")
-    inside = Window.partitionBy("__part").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
-    running = part.withColumn("__inside", F.coalesce(F.sum(size).over(inside), F.lit(0)))
-    chunked = running.join(F.broadcast(totals), "__part")  # one row per shuffle partition
-    return chunked.withColumn("chunk", F.floor((F.col("__inside") + F.col("__before")) / limit).cast("bigint")).drop("__part", "__inside", "__before")
+    """``df`` with ``chunk``: the running size before a row, in order of ``key`` (unique), divided by ``limit``."""
+    return running_sum(df, [key], F.col(size), "__running").withColumn("chunk", F.floor(F.col("__running") / limit).cast("bigint")).drop("__running")
 
 
 def _gzip_chunk(table):
@@ -105,23 +96,47 @@ def gzip_chunks(df: DataFrame, key: str, line: str, chunk_bytes: int = CHUNK_BYT
     return chunked.groupBy("chunk").applyInArrow(_gzip_chunk, "chunk bigint, bytes binary, sha256 string, byteSize bigint, entryCount bigint")
 
 
+def _write_files(folder: str, name: str):
+    def run(batches):
+        import pyarrow as pa
+        from pyarrow import fs
+
+        system, root = fs.FileSystem.from_uri(folder)
+        for batch in batches:
+            files = [f"{name}-{k:05d}.jsonl.gz" for k in batch.column(0).to_pylist()]
+            for file, data in zip(files, batch.column(1), strict=True):
+                draft = f"{root}/.{file}.{uuid.uuid4().hex}"
+                with system.open_output_stream(draft) as out:
+                    out.write(data.as_buffer())
+                system.move(draft, f"{root}/{file}")  # equal bytes, whichever attempt of a task comes last
+            yield pa.RecordBatch.from_arrays([pa.array(files, pa.string()), *[batch.column(k) for k in (2, 3, 4)]], ["path", "sha256", "byteSize", "entryCount"])
+
+    return run
+
+
 def write_release(chunks: DataFrame, folder: str | Path, name: str, schema_id: str, manifest: dict) -> dict:
-    """Writes chunk files and ``manifest.json`` (which doesn't list itself) into a flat folder; returns the manifest.
+    """Writes chunk files and ``manifest.json`` (which doesn't list itself) into a flat folder, a path or URI that all executors reach; returns the manifest.
 
-    Chunks come to the driver one partition at a time.
+    The executors write the files; the driver gets their descriptors only. A manifest that is there already is refused.
     """
-    out = Path(folder)
-    out.mkdir(parents=True, exist_ok=True)
-    listed = []
-    for r in chunks.orderBy("chunk").toLocalIterator():
-        file = f"{name}-{r.chunk:05d}.jsonl.gz"
-        (out / file).write_bytes(bytes(r.bytes))
-        listed.append({"path": file, "kind": "jsonl-gzip", "mediaType": "application/x-ndjson", "schemaId": schema_id, "contentEncoding": "gzip", "byteSize": r.byteSize, "entryCount": r.entryCount, "sha256": r.sha256})
+    home = str(folder) if "://" in str(folder) else f"file://{Path(folder).absolute()}"
+    make_folder(chunks.sparkSession, home)
+    rows = chunks.select("chunk", "bytes", "sha256", "byteSize", "entryCount").mapInArrow(_write_files(home, name), "path string, sha256 string, byteSize bigint, entryCount bigint")
+    listed = [
+        {"path": r.path, "kind": "jsonl-gzip", "mediaType": "application/x-ndjson", "schemaId": schema_id, "contentEncoding": "gzip", "byteSize": r.byteSize, "entryCount": r.entryCount, "sha256": r.sha256}
+        for r in sorted(rows.collect(), key=lambda r: r.path)
+    ]
     document = manifest | {"requiredArtifacts": listed, "optionalArtifacts": manifest.get("optionalArtifacts", [])}
-    (out / "manifest.json").write_bytes(canonical_bytes(document))
+    write_text(chunks.sparkSession, f"{home}/manifest.json", canonical_bytes(document).decode())
     return document
 
 
+def size_budget(files: DataFrame, limit: int, size: str = "byteSize") -> DataFrame:
+    """One row: files, bytes, limit, and whether the release is within its budget; an empty release is."""
+    total = F.coalesce(F.sum(size), F.lit(0)).cast("bigint")
+    return files.agg(F.count("*").alias("files"), total.alias("bytes"), F.lit(limit).cast("bigint").alias("limit"), (total <= limit).alias("within"))
+
+
 def _counted(batches):
     import pyarrow as pa
 

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 # Issue codes.
 DUPLICATE_ID, MISSING_REFERENCE, INVALID_SCOPE, NOT_DISTINCT = "DUPLICATE_ID", "MISSING_REFERENCE", "INVALID_SCOPE", "CULTIVAR_RULES_NOT_DISTINCT"
-ISSUE = "phase int, line bigint, place int, code string, recordId string, message string"
 
 
 def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -82,7 +81,7 @@ def dataset_issues(dataset: dict[str, DataFrame], order_sensitive: bool = False)
     """Issues of a catalogue: phase, line, place, code, recordId, message; ordered by the first three they come in the order of the checks.
 
     ``dataset`` has the collections taxa, plantConcepts, cultivars, contexts, rules, assertions, evidence and reviews, each with
-    ``v`` (VARIANT), ``line`` and, for ``order_sensitive``, ``raw``; a collection that is left out is empty. Ids that are no strings
+    ``v`` (VARIANT), ``line``, which is unique in its collection and sorts, and, for ``order_sensitive``, ``raw``; a collection that is left out is empty. Ids that are no strings
     are skipped; an empty string is an id. Cultivar rules are compared by canonical timing, or by the timing as written.
     """
     # Collections in the order of the checks.
@@ -114,6 +113,6 @@ def dataset_issues(dataset: dict[str, DataFrame], order_sensitive: bool = False)
     if order_sensitive and "rules" in dataset:
         raw = dataset["rules"].select("line", F.get_json_object("raw", "$.timing").alias("written"))
         windows, timing = windows.join(raw, "line"), F.col("written")
-    alike = not_distinct(windows, timing).select(F.lit(0).cast("bigint").alias("line"), F.lit("dataset").alias("id"))
+    alike = not_distinct(windows, timing).select(F.lit(None).cast(some.schema["line"].dataType).alias("line"), F.lit("dataset").alias("id"))
     parts.append(_issues(alike, at + 3, NOT_DISTINCT, F.lit("Cultivar validation rules must retain distinct reviewed parameters")))
     return reduce(DataFrame.unionByName, parts)

@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from seedloom.plans.lineage import cut
 
-#: A chain of replacements longer than this is reported as unresolved.
-LONGEST_CHAIN = 1 << 20
-
 
 def coverage(df: DataFrame, metrics: dict[str, Column], by: list[str] | None = None) -> DataFrame:
     """Counts of metrics with their denominator: groups, metric, covered, denominator. One pass; NULL counts as not covered."""
@@ -71,18 +68,19 @@ def resolve_replacements(df: DataFrame, id: str = "id", replacement: str = "repl
     """What each record is finally replaced by: id, final, steps; final is NULL if the chain runs into a cycle.
 
     Ids are unique. Pointers are doubled, so a chain of n needs log2(n) joins; each round is checkpointed. A record
-    without replacement is its own final one; a replacement that is no record ends the chain there.
+    without replacement is its own final one; a replacement that is no record ends the chain there. Records are in a cycle or lead
+    to one if they have not ended after more steps than there are records.
     """
     rows = df.select(F.col(id).alias("id"), F.coalesce(F.col(replacement), F.col(id)).alias("to"))
     state = rows.select("id", "to", F.when(F.col("to") == F.col("id"), 0).otherwise(1).cast("bigint").alias("steps"))
     ends = rows.where("to = id").select(F.col("id").alias("end_id"))
-    reached = 1
+    reached, records = 1, df.count()
     while True:
         ahead = state.select(F.col("id").alias("to"), F.col("to").alias("beyond"), F.col("steps").alias("more"))
         state = cut(state.join(ahead, "to", "left").select("id", F.coalesce("beyond", "to").alias("to"), (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps")))
         reached *= 2
         open_rows = state.join(ends, state["to"] == ends["end_id"], "left_anti").join(rows.select(F.col("id").alias("known")), F.col("to") == F.col("known"), "left_semi")
-        if reached > LONGEST_CHAIN or open_rows.isEmpty() or reached > 2 * max(1, df.count()):
+        if open_rows.isEmpty() or reached > 2 * records:
             break
     cyclic = open_rows.select(F.col("id").alias("cyclic_id"))
     out = state.join(cyclic, state["id"] == cyclic["cyclic_id"], "left")

@@ -396,7 +396,8 @@ class SchemaSet:
         if "maxItems" in schema:
             fail(is_list & (F.size(elements) > schema["maxItems"]), "maxItems", f"must NOT have more than {schema['maxItems']} items")
         if schema.get("uniqueItems"):
-            texts = F.transform(elements, lambda e: F.to_json(e))
+            # Equal numbers are equal however they are written; within objects and arrays they are compared as written.
+            texts = F.transform(elements, lambda e: F.when(F.regexp_extract(F.schema_of_variant(e), "^[A-Z]+", 0).isin(_NUMERIC), F.try_variant_get(e, "$", "double").cast("string")).otherwise(F.to_json(e)))
             fail(is_list & (F.size(F.array_distinct(texts)) < F.size(texts)), "uniqueItems", "must NOT have duplicate items")
         if "items" in schema:
             self._each(out, elements, is_list, lambda x: x, lambda e, i, x: F.concat(node.at, F.lit("/"), i.cast("string")), lambda n: below(schema["items"], n, "items"))

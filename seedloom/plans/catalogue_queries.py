@@ -483,7 +483,7 @@ def name_fallback(spark, sf):
 def supersession_latest(spark, sf):
     """The latest review of every reviewer."""
     rows = read_table(spark, sf, "reviews", "id", "status", "reviewedAt", "reviewerId").where("reviewerId is not null")
-    return reports.latest(rows, ["reviewerId"], ["reviewedAt"], ["id", "status"]).join(rows.select("id", "reviewedAt").distinct(), "id")
+    return reports.latest(rows, ["reviewerId"], ["reviewedAt"], ["id", "status", "reviewedAt"])
 
 
 @query("""

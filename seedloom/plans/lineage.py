@@ -56,6 +56,12 @@ def list_names(spark: SparkSession, folder: str) -> list[str]:
     return [s.getPath().getName() for s in system.listStatus(at)] if system.exists(at) else []
 
 
+def make_folder(spark: SparkSession, folder: str) -> None:
+    """Makes a folder of any file system."""
+    system, at = _file_system(spark, folder)
+    system.mkdirs(at)
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     """A small text file of any file system."""
     return "\n".join(r.value for r in spark.read.option("lineSep", "\n").text(path).collect())

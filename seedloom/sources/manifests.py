@@ -10,6 +10,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from seedloom.functions.canonical_json import parse_strict
+from seedloom.functions.json_text import strict_json
+from seedloom.operators.schema import SchemaSet, with_validation
 from seedloom.sources.jsonl import read_jsonl
 
 # Fixed value: what a safe relative path looks like.
@@ -83,3 +85,27 @@ def load_cases(manifest: str | Path) -> list[Case]:
             raise ValueError(f"case {name} has no clear expectation")
         cases.append(Case(name, entry.get("schemaId", document.get("schemaId")), home.parent / entry["fixture"], expected.get("valid") is True, errors, expected.get("pipelineError")))
     return cases
+
+
+def run_cases(spark: SparkSession, schemas: SchemaSet, cases: list[Case]) -> DataFrame:
+    """A row per case: name, schemaId, expected and actual (``valid``, the sorted path and keyword of every error, or the pipeline's code), passed.
+
+    Expected errors have to be among the actual ones; a valid value has none. The values of one schema are checked together.
+    """
+    told, by_schema = {}, {}
+    for case in cases:
+        if case.schema_id in schemas.documents:
+            by_schema.setdefault(case.schema_id, []).append(case)
+        else:
+            told[case.name] = ["UNKNOWN_SCHEMA_ID"]
+    for schema_id, group in by_schema.items():
+        rows = spark.createDataFrame([(c.name, json.dumps(c.value())) for c in group], "name string, t string")
+        checked = with_validation(rows.select("name", strict_json("t").alias("v")), schemas.compile(schema_id))
+        for r in checked.select("name", "errors").collect():
+            told[r.name] = sorted({f"{e.instancePath} {e.keyword}" for e in r.errors}) or ["valid"]
+    out = []
+    for case in cases:
+        wanted = [case.pipeline_error] if case.pipeline_error else ["valid"] if case.valid else sorted(f"{path} {keyword}" for path, keyword in case.errors)
+        passed = set(wanted) <= set(told[case.name]) and (case.errors != () or told[case.name] == wanted)
+        out.append((case.name, case.schema_id, wanted, told[case.name], passed))
+    return spark.createDataFrame(out, "name string, schemaId string, expected array<string>, actual array<string>, passed boolean")
