@@ -18,6 +18,40 @@ def coverage(df: DataFrame, metrics: dict[str, Column], by: list[str] | None = N
     return sums.select(*(by or []), rows.alias("r"), "denominator").select(*(by or []), "r.metric", "r.covered", "denominator")
 
 
+def coverage_of(items: DataFrame, marks: DataFrame, id: str) -> DataFrame:
+    """How many of the distinct ``items`` each metric of ``marks`` (metric, id) covers: metric, covered, denominator. Marks of other ids or without a metric count nothing."""
+    met = marks.where(F.col("metric").isNotNull()).distinct().join(items.select(id), id, "left_semi")
+    return met.groupBy("metric").agg(F.count("*").alias("covered")).join(items.agg(F.count("*").alias("denominator")))  # the second is one row
+
+
+def rule_details(rules: DataFrame, contexts: DataFrame, plants: DataFrame) -> DataFrame:
+    """Rules with what their context and target say: id, action, contextId, growingSystem, propagation, target, kind, taxonId; ids of contexts and plants are unique."""
+    there = contexts.select(F.col("id").alias("contextId"), "growingSystem", "propagation")
+    taxa = plants.select(F.col("id").alias("plantConceptId"), "taxonId")
+    kind = F.when(F.col("plantConceptId").isNotNull(), "plant-concept").when(F.col("cultivarId").isNotNull(), "cultivar")
+    joined = rules.join(there, "contextId", "left").join(taxa, "plantConceptId", "left")
+    return joined.select("id", "action", "contextId", "growingSystem", "propagation", F.coalesce("plantConceptId", "cultivarId").alias("target"), kind.alias("kind"), "taxonId")
+
+
+def notices(evidence: DataFrame, used: DataFrame, sources: DataFrame) -> DataFrame:
+    """A notice per source, release and licence: sourceId, name, publisher, homepage, release, licenceId, records (distinct ids of evidence that is used).
+
+    ``evidence`` has id, sourceId, release, licenceId; ``used`` distinct ids; ``sources`` unique ids. Unused evidence and evidence without source make none.
+    """
+    counted = evidence.where("sourceId is not null").distinct().join(used, "id", "left_semi").groupBy("sourceId", "release", "licenceId").agg(F.count_distinct("id").alias("records"))
+    named = counted.join(sources.select(F.col("id").alias("sourceId"), "name", "publisher", "homepage"), "sourceId", "left")
+    return named.select("sourceId", "name", "publisher", "homepage", "release", "licenceId", "records")
+
+
+def notice_line() -> Column:
+    """A notice as a line of the attribution page."""
+    part = lambda before, c: F.coalesce(F.concat(F.lit(before), F.col(c)), F.lit(""))
+    return F.concat(
+        F.coalesce("name", "sourceId"), part(", ", "publisher"), part(", release ", "release"), part(", ", "homepage"),
+        F.lit(". Licence: "), F.coalesce("licenceId", F.lit("unknown")), F.lit(". Records: "), F.col("records").cast("string"),
+    )
+
+
 def attribution(df: DataFrame, by: list[str], record: str) -> DataFrame:
     """One notice per group with its distinct records in order: groups, included. Records that are NULL make no notice.
 

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seedloom.functions.canonical_json import canonical_json, checked_json
@@ -16,24 +15,12 @@ from seedloom.operators.artifacts import assign_chunks, compare_builds, compare_
 from seedloom.operators.schema import SchemaSet, listed_errors, with_validity
 from seedloom.operators.units import measured_values
 from seedloom.operators.wide_table import spelling
+from seedloom.plans.registering import registry
 from seedloom.sources import catalogue_schemas
 from seedloom.sources.adapters import Mapping, Release, import_run, to_assertions
 from seedloom.sources.tables import read_table
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    """Registers a query under its name, with its SQL."""
-
-    def register(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return register
+QUERIES, SQL, query = registry()
 
 
 # --- identity and references -------------------------------------------------------------------------------------------

@@ -3,10 +3,10 @@
 import pytest
 from oracle import compare, database
 
-from seedloom.plans import catalogue_queries, pipeline_queries, pipeline_sql
+from seedloom.plans import catalogue_queries, pipeline_queries, pipeline_sql, surface_queries
 
-QUERIES = {**catalogue_queries.QUERIES, **pipeline_queries.QUERIES}
-SQL = {**catalogue_queries.SQL, **pipeline_sql.SQL}
+QUERIES = {**catalogue_queries.QUERIES, **surface_queries.QUERIES, **pipeline_queries.QUERIES}
+SQL = {**catalogue_queries.SQL, **surface_queries.SQL, **pipeline_sql.SQL}
 
 
 @pytest.fixture(scope="module")
