@@ -48,11 +48,10 @@ def dup_texts(spark, sf):
     return integrity.repeated_keys(read_table(spark, sf, "documents", "text"), ["text"])
 
 
-@query("SELECT id, replacementPlantConceptId FROM plant_concepts p WHERE replacementPlantConceptId IS NOT NULL AND NOT EXISTS (SELECT 1 FROM plant_concepts q WHERE q.id = p.replacementPlantConceptId)")
+@query("SELECT id, reviewId FROM assertions a WHERE reviewId IS NOT NULL AND NOT EXISTS (SELECT 1 FROM reviews r WHERE r.id = a.reviewId)")
 def missing_reference(spark, sf):
-    """Replacements that are no record; no reference is no fault."""
-    plants = read_table(spark, sf, "plant_concepts", "id", "replacementPlantConceptId")
-    return integrity.missing_references(plants, "replacementPlantConceptId", plants, "id")
+    """Assertions whose review is no record; no reference is no fault."""
+    return integrity.missing_references(read_table(spark, sf, "assertions", "id", "reviewId"), "reviewId", read_table(spark, sf, "reviews", "id"), "id")
 
 
 @query("SELECT id, e AS reference FROM (SELECT id, unnest(evidenceReferenceIds) AS e FROM assertions) a WHERE e IS NOT NULL AND NOT EXISTS (SELECT 1 FROM evidence_references r WHERE r.id = a.e)")
@@ -241,10 +240,25 @@ def schema_errors_reviews(spark, sf):
     return _errors(rows.select("id", F.parse_json(F.to_json(F.struct("*"))).alias("v")), "review")
 
 
-_MONTH_DAY = " UNION ALL ".join(
-    f"SELECT id, '/timing/{edge}/{part}' AS path, '{keyword}' AS keyword FROM cal WHERE {edge}_.{part} {test}"
-    for edge in ("start", "end") for part, most in (("month", 12), ("day", 31)) for keyword, test in (("minimum", "< 1"), ("maximum", f"> {most}"))
-)
+_CALENDAR = [
+    "SELECT k, '/timing/type' AS path, 'const' AS keyword FROM t WHERE t.type <> 'calendar-date-window'",
+    *[f"SELECT k, '/timing', 'required' FROM t WHERE {m} IS NULL" for m in ("t.type", "s", "e", "t.precision")],
+    *[f"SELECT k, '/timing', 'additionalProperties' FROM t WHERE {m} IS NOT NULL" for m in ("t.anchor", "t.startOffsetDays", "t.endOffsetDays")],
+    "SELECT k, '/timing/precision', 'enum' FROM t WHERE t.precision NOT IN ('day', 'month')",
+    *[f"SELECT k, '/timing/{edge}', 'required' FROM t WHERE {n} IS NOT NULL AND {n}.{part} IS NULL" for edge, n in (("start", "s"), ("end", "e")) for part in ("month", "day")],
+    *[f"SELECT k, '/timing/{edge}/{part}', '{keyword}' FROM t WHERE {n}.{part} {test}" for edge, n in (("start", "s"), ("end", "e")) for part, most in (("month", 12), ("day", 31)) for keyword, test in (("minimum", "< 1"), ("maximum", f"> {most}"))],
+]
+_RELATIVE = [
+    "SELECT k, '/timing/type' AS path, 'const' AS keyword FROM t WHERE t.type <> 'relative-day-window'",
+    *[f"SELECT k, '/timing', 'required' FROM t WHERE {m} IS NULL" for m in ("t.type", "t.anchor", "t.startOffsetDays", "t.endOffsetDays")],
+    *[f"SELECT k, '/timing', 'additionalProperties' FROM t WHERE {m} IS NOT NULL" for m in ("s", "e", "t.precision")],
+    "SELECT k, '/timing/anchor', 'enum' FROM t WHERE t.anchor NOT IN ('last_spring_frost', 'first_autumn_frost', 'previous_crop_harvest')",
+]
+_TIMED = f"""
+WITH t AS (SELECT row_number() OVER () AS k, id, timing AS t, timing.start AS s, timing."end" AS e FROM cultivation_rules WHERE timing IS NOT NULL),
+calendar AS ({" UNION ALL ".join(_CALENDAR)}), relative AS ({" UNION ALL ".join(_RELATIVE)}), wrong AS (SELECT k FROM calendar INTERSECT SELECT k FROM relative)
+SELECT t.id, x.path, x.keyword FROM (SELECT * FROM calendar UNION ALL SELECT * FROM relative UNION ALL SELECT k, '/timing', 'oneOf' FROM wrong) x JOIN wrong USING (k) JOIN t USING (k)
+"""
 _RULE_SQL = f"""
 WITH src AS (SELECT id, status, plantConceptId, cultivarId, contextId, action, timing, evidenceReferenceIds FROM cultivation_rules)
 SELECT id, path, keyword FROM (
@@ -259,20 +273,15 @@ UNION ALL {_list_errors('/evidenceReferenceIds', 'evidenceReferenceIds')}
 UNION ALL SELECT id, '', 'oneOf' FROM src WHERE (plantConceptId IS NULL) = (cultivarId IS NULL)
 UNION ALL SELECT id, '', unnest(['not', 'not']) FROM src WHERE plantConceptId IS NOT NULL AND cultivarId IS NOT NULL
 UNION ALL SELECT id, '', unnest(['required', 'required']) FROM src WHERE plantConceptId IS NULL AND cultivarId IS NULL
-) WHERE path NOT LIKE '/timing%'
+UNION ALL SELECT id, path, keyword FROM ({_TIMED})
+)
 """
 
 
 @query(_RULE_SQL)
 def schema_errors_rules(spark, sf):
-    """Errors of rules outside their timing (exactly one target by oneOf and not); ``schema_errors_rules_timing`` has the others."""
-    return _rule_errors(spark, sf).where("path not like '/timing%'")
-
-
-@query()
-def schema_errors_rules_timing(spark, sf):
-    """Errors of rules at and inside their timing (both kinds of window, months, days, offsets)."""
-    return _rule_errors(spark, sf).where("path like '/timing%'")
+    """Errors of rules (exactly one target by oneOf and not, both kinds of window, months, days, offsets)."""
+    return _rule_errors(spark, sf)
 
 
 def _rule_errors(spark, sf) -> DataFrame:
@@ -350,17 +359,6 @@ def gzip_artifact(spark, sf):
     return gzip_chunks(lines, "id", "line").drop("bytes")
 
 
-@query("""
-SELECT side, id, status, taxonId FROM (
-  (SELECT 'first' AS side, * FROM (SELECT id, status, taxonId FROM plant_concept_snapshots WHERE snapshot_date = (SELECT min(snapshot_date) FROM plant_concept_snapshots) EXCEPT ALL SELECT id, status, taxonId FROM plant_concept_snapshots WHERE snapshot_date = (SELECT max(snapshot_date) FROM plant_concept_snapshots)))
-  UNION ALL
-  (SELECT 'second' AS side, * FROM (SELECT id, status, taxonId FROM plant_concept_snapshots WHERE snapshot_date = (SELECT max(snapshot_date) FROM plant_concept_snapshots) EXCEPT ALL SELECT id, status, taxonId FROM plant_concept_snapshots WHERE snapshot_date = (SELECT min(snapshot_date) FROM plant_concept_snapshots))))
-""")
-def build_compare(spark, sf):
-    """Rows that only the first or only the last snapshot has, by status and taxon alone; ``build_compare_whole`` has all columns."""
-    return _compare_ends(read_table(spark, sf, "plant_concept_snapshots", "snapshot_date", "id", "status", "taxonId"))
-
-
 def _compare_ends(rows: DataFrame) -> DataFrame:
     ends = rows.agg(F.min("snapshot_date").alias("a"), F.max("snapshot_date").alias("b")).first()
     pick = lambda day: rows.where(F.col("snapshot_date") == F.lit(day)).drop("snapshot_date")
@@ -374,7 +372,7 @@ _BUILD = "SELECT id, status, taxonId, replacementPlantConceptId, list_sort(evide
 SELECT 'first' AS side, * FROM ({_BUILD.format("min")} EXCEPT ALL {_BUILD.format("max")})
 UNION ALL SELECT 'second' AS side, * FROM ({_BUILD.format("max")} EXCEPT ALL {_BUILD.format("min")})
 """)
-def build_compare_whole(spark, sf):
+def build_compare(spark, sf):
     """Rows that only the first or only the last snapshot has, by all columns but the time of receipt; the order of evidence is no difference."""
     rows = read_table(spark, sf, "plant_concept_snapshots").drop("received_at")
     return _compare_ends(rows.withColumns({c: F.array_sort(c) for c, kind in rows.dtypes if kind.startswith("array")}))
@@ -417,37 +415,37 @@ _IN_CONTEXT = ["subjectType", "subjectId", "predicate", "geo", "growingSystem",
 
 
 def _said_in_context(spark, sf) -> DataFrame:
-    """Values of assertions with what they are said of and the parts of their context."""
+    """Values of assertions with what they are said of, predicates apart from their spelling, and the parts of their context."""
     rows = read_table(spark, sf, "assertions", "subjectType", "subjectId", "predicate", "value", "context")
     geo = F.array_join(F.array_sort(F.array_compact("context.geographicContextIds")), ",")
-    return rows.select("subjectType", "subjectId", "predicate", geo.alias("geo"), F.col("context.growingSystem").alias("growingSystem"), F.col("context.propagation").alias("propagation"), "value")
+    return rows.select("subjectType", "subjectId", spelling(F.col("predicate")).alias("predicate"), geo.alias("geo"), F.col("context.growingSystem").alias("growingSystem"), F.col("context.propagation").alias("propagation"), "value")
 
 
-_GROUP = "subjectType, subjectId, predicate, array_to_string(list_sort(context.geographicContextIds), ','), context.growingSystem, context.propagation"
+# A value by its leaves: path, kind and what stands there, numbers as doubles.
+_LEAVES = "(SELECT string_agg(j.fullkey || '=' || CASE WHEN j.type IN ('BIGINT', 'UBIGINT', 'HUGEINT', 'DOUBLE') THEN 'n' || (j.atom::VARCHAR)::DOUBLE ELSE j.type || coalesce(j.atom::VARCHAR, '') END, ';' ORDER BY j.fullkey) FROM json_tree(value::JSON) j)"
 
 
 @query(f"""
-SELECT subjectType, subjectId, predicate, geo, growingSystem, propagation, count(DISTINCT value) AS different FROM (
-  SELECT subjectType, subjectId, predicate, array_to_string(list_sort(list_filter(context.geographicContextIds, lambda g: g IS NOT NULL)), ',') AS geo, context.growingSystem AS growingSystem, context.propagation AS propagation,
-    regexp_replace(value, '"([^"\\\\]*)"|\\s', '"\\1"', 'g') AS value FROM assertions WHERE json_valid(value) AND json_type(value) NOT IN ('OBJECT', 'ARRAY', 'DOUBLE'))
-GROUP BY ALL HAVING count(DISTINCT value) > 1
+WITH said AS (
+  SELECT DISTINCT subjectType, subjectId, regexp_replace(lower(predicate), '[\\s _-]', '', 'g') AS predicate, array_to_string(list_sort(list_filter(context.geographicContextIds, lambda g: g IS NOT NULL)), ',') AS geo, context.growingSystem AS growingSystem, context.propagation AS propagation, value
+  FROM assertions WHERE json_valid(value))
+SELECT subjectType, subjectId, predicate, geo, growingSystem, propagation, count(DISTINCT leaves) AS different FROM (SELECT *, {_LEAVES} AS leaves FROM said) GROUP BY ALL HAVING count(DISTINCT leaves) > 1
 """)
 def contradiction_report(spark, sf):
-    """Subjects with different plain values (text, whole numbers, yes and no) for one predicate and context.
-
-    This is the part of ``contradiction_report_whole`` that its SQL can express.
-    """
-    rows = _said_in_context(spark, sf).withColumn("v", strict_json("value"))
-    rows = rows.where(F.schema_of_variant("v").isin("STRING", "BIGINT", "BOOLEAN", "VOID") & ~F.col("value").rlike(r"^\s*-?\d+[.eE]"))
-    return reports.contradictions(rows.withColumn("c", canonical_text("value")), _IN_CONTEXT, F.col("c"))
-
-
-@query()
-def contradiction_report_whole(spark, sf):
     """Subjects with different values of any shape for one predicate and context, by the values' canonical JSON."""
     return reports.contradictions(_said_in_context(spark, sf).withColumn("c", canonical_json("value")), _IN_CONTEXT, F.col("c"))
 
 
+@query(f"""
+SELECT subjectType, subjectId, predicate, count(DISTINCT leaves) AS different FROM (
+  SELECT subjectType, subjectId, regexp_replace(lower(predicate), '[\\s _-]', '', 'g') AS predicate, {_LEAVES} AS leaves FROM assertions WHERE json_valid(value))
+GROUP BY ALL HAVING count(DISTINCT leaves) > 1
+""")
+def contradictions_in_any_context(spark, sf):
+    """Subjects with different values for one predicate, whatever the context."""
+    return reports.contradictions(_said_in_context(spark, sf).withColumn("c", canonical_json("value")), _IN_CONTEXT[:3], F.col("c"))
+
+
 @query("SELECT subjectId, languageTag, count(*) FILTER (WHERE preferred) AS n FROM localized_names GROUP BY 1, 2 HAVING count(*) FILTER (WHERE preferred) > 1")
 def preferred_uniqueness(spark, sf):
     """Subjects with several preferred names in a language."""
@@ -498,20 +496,8 @@ def exclusions_with_reason(spark, sf):
 _BASE_UNITS = {"cm": ("m", 0.01), "mm": ("m", 0.001), "kg": ("kg", 1.0)}
 
 
-@query("SELECT DISTINCT id, (value->>'$.value')::DOUBLE * CASE value->>'$.unit' WHEN 'cm' THEN 0.01 WHEN 'mm' THEN 0.001 WHEN 'kg' THEN 1.0 END AS base_value, CASE value->>'$.unit' WHEN 'cm' THEN 'm' WHEN 'mm' THEN 'm' WHEN 'kg' THEN 'kg' END AS base_unit, value AS original FROM assertions WHERE json_valid(value) AND json_type(value) = 'OBJECT' AND json_exists(value, '$.unit') AND json_type(value, '$.value') IN ('BIGINT', 'UBIGINT', 'DOUBLE')")
-def unit_normalisation(spark, sf):
-    """Measured values said as objects with a number and a unit, in base units, with the original.
-
-    This is the part of ``unit_normalisation_whole`` that its SQL can express.
-    """
-    rows = read_table(spark, sf, "assertions", "id", "value").where("value is not null").withColumn("v", strict_json("value"))
-    rows = rows.select("id", F.col("value").alias("original"), F.try_variant_get("v", "$.value", "double").alias("n"), F.try_variant_get("v", "$.unit", "string").alias("u"), F.schema_of_variant(F.try_variant_get("v", "$.value", "variant")).alias("kind"))
-    rows = rows.where("u is not null and n is not null and kind <> 'STRING' and kind <> 'BOOLEAN'")
-    return reports.normalised_units(rows, "n", "u", _BASE_UNITS).select("id", "base_value", "base_unit", "original").distinct()
-
-
 @query()
-def unit_normalisation_whole(spark, sf):
+def unit_normalisation(spark, sf):
     """Measured values of every shape in base units, with number and unit as said and the original; ranges give a row for each bound.
 
     A unit without a base unit here (days, pH) leaves base_value and base_unit NULL.
@@ -569,15 +555,9 @@ def _imported(spark, sf):
 
 @query("""
 SELECT 'source_parts:1:' || p_partkey || ':' || m.predicate AS id, 'part_' || p_partkey AS subjectId, m.predicate, m.value FROM part
-CROSS JOIN LATERAL (VALUES ('size', p_size::VARCHAR), ('brand', to_json(p_brand)::VARCHAR)) m(predicate, value) WHERE p_size > 1 AND m.value IS NOT NULL
+CROSS JOIN LATERAL (VALUES ('size', p_size::VARCHAR), ('price', p_retailprice::VARCHAR), ('brand', to_json(p_brand)::VARCHAR)) m(predicate, value) WHERE p_size > 1 AND m.value IS NOT NULL
 """)
 def adapted_assertions(spark, sf):
-    """Parts of a release as assertions (text and whole numbers); ``adapted_assertions_whole`` has the prices too."""
-    return _imported(spark, sf)[0].where("predicate <> 'price'").select("id", "subjectId", "predicate", "value")
-
-
-@query()
-def adapted_assertions_whole(spark, sf):
     """Parts of a release as assertions of every mapped column."""
     return _imported(spark, sf)[0].select("id", "subjectId", "predicate", "value")
 
