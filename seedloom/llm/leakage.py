@@ -9,19 +9,26 @@ numbers and names) occur.
 
 The terms are those of the held-out items, so the SVD has a fixed number of dimensions however large the corpus is;
 other words can't add to a cosine. A passage with fewer words of that vocabulary than ``least_shared`` can't share that
-many words with an item and is not projected; this loses no case.
+many words with an item and is not projected; this loses no verbatim case.
+
+Vectors are never made dense: a passage is the numbers of its terms, and its product with a matrix is a sum of rows. Held-out items
+come to the driver a block at a time, of bounded size, and each block has a latent space and a search of its own, so there may be any number of them.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Iterable, Iterator
+from functools import reduce
 from itertools import chain, islice, repeat
 from math import log
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from seedloom.plans.lineage import written
+
 #: Words of a passage and of the step to the next: every run of up to WORDS - STEP words lies within one passage.
 WORDS, STEP = 24, 12
 #: Words of a passage of an item; they start at every word.
@@ -40,8 +47,10 @@ NEAR = 0.6
 LEAST_SHARED = 10
 #: Passages that are projected at a time.
 ROWS = 2000
-#: The vocabulary of the held-out items, which every task holds, can't be larger.
-MOST_TERMS = 200_000
+#: Passages of a block of held-out items, which every task holds with their vectors; an item longer than that is a block by itself.
+MOST_PASSAGES = 100_000
+#: Numbers of a product of passages with held-out passages that are made at a time.
+CELLS = 8_000_000
 
 _WORD = re.compile(r"[^\W_]+")
 
@@ -68,22 +77,20 @@ def words(text: str | None) -> list[str]:
 
 
 class HeldOut:
-    """The held-out items: their terms, passages and answers. Small: it is sent to every task."""
+    """A block of held-out items: their terms, passages and answers. Of bounded size: it is sent to every executor."""
 
     def __init__(self, items: list[tuple[int, str]]):
-        self.items = {i: words(t) for i, t in items if t}
-        self.items = {i: w for i, w in self.items.items() if w}
-        self.terms = {t: k for k, t in enumerate(sorted({x for w in self.items.values() for x in w}))}
-        if len(self.terms) > MOST_TERMS:
-            raise ValueError(f"the held-out items have more than {MOST_TERMS} terms; search them in parts")
-        self.passages = [(i, w[k : k + ITEM_WORDS]) for i, w in self.items.items() for k in range(max(1, len(w) - ITEM_WORDS + 1))]
-        self.answers = {}
-        for i, text in items:
-            if i in self.items:
-                named = {w.casefold() for k, w in enumerate(_WORD.findall(unicodedata.normalize("NFC", text))) if k and w[:1].isupper()}
-                self.answers[i] = {w for w in self.items[i] if any(map(str.isdigit, w))} | named
+        texts = [(i, t, w) for i, t in items if (w := words(t))]
+        self.ids = [i for i, _, _ in texts]  # an item goes by its place, so that an id with two texts is two items
+        self.items = [w for _, _, w in texts]
+        self.terms = {t: k for k, t in enumerate(sorted({x for w in self.items for x in w}))}
+        self.passages = [(i, w[k : k + ITEM_WORDS]) for i, w in enumerate(self.items) for k in range(max(1, len(w) - ITEM_WORDS + 1))]
+        self.answers = []
+        for _, text, found in texts:
+            named = {w.casefold() for k, w in enumerate(_WORD.findall(unicodedata.normalize("NFC", text))) if k and w[:1].isupper()}
+            self.answers.append({w for w in found if any(map(str.isdigit, w))} | named)
         self.runs: dict[tuple[str, ...], set[int]] = {}
-        for i, w in self.items.items():
+        for i, w in enumerate(self.items):
             for k in range(len(w) - RUN + 1):
                 self.runs.setdefault(tuple(w[k : k + RUN]), set()).add(i)
 
@@ -102,13 +109,14 @@ class HeldOut:
 
         return np.fromiter(map(self.terms.get, found, repeat(-1)), np.int32, len(found))
 
-    def vectors(self, passages: list[list[str]], idf):
+    def blocks(self):
+        """Term numbers of the items' own passages, ITEM_WORDS columns filled up with -1."""
         import numpy as np
 
-        out = np.zeros((len(passages), len(self.terms)), np.float32)
-        for r, p in enumerate(passages):
-            np.add.at(out[r], self.codes(p), 1)
-        return out * idf
+        out = np.full((len(self.passages), ITEM_WORDS), -1, np.int32)
+        for r, (_, p) in enumerate(self.passages):
+            out[r, : len(p)] = self.codes(p)
+        return out
 
 
 def _passages(texts: list[str | None], held: HeldOut):
@@ -137,21 +145,41 @@ def _known(texts: list[str | None], held: HeldOut):
     return found, text[enough], start[enough], block[enough]
 
 
-def _tfidf(block, idf):
-    """Dense TF-IDF rows of a block of passages."""
+def _weighted(matrix, idf):
+    """Rows of a matrix by term, weighted, and a row of zeros at the end, which -1 picks."""
+    import numpy as np
+
+    return np.vstack([matrix * idf[:, None], np.zeros((1, matrix.shape[1]))]).astype(np.float32)
+
+
+def _product(block, weighted):
+    """Product of the TF-IDF rows of passages with a weighted matrix: the sum of the rows of their terms."""
     import numpy as np
 
-    out = np.zeros((len(block), len(idf) + 1), np.float32)
-    rows = np.repeat(np.arange(len(block)), block.shape[1])
-    np.add.at(out, (rows, block.ravel()), 1)
-    return out[:, :-1] * idf
+    out = np.zeros((len(block), weighted.shape[1]), np.float32)
+    for k in range(block.shape[1]):
+        out += weighted[block[:, k]]
+    return out
 
 
-def _frequencies(held: HeldOut):
+def _add_back(total, block, product, idf) -> None:
+    """Adds the product of the passages' TF-IDF rows, turned, with ``product`` to ``total``."""
+    import numpy as np
+
+    codes = block.ravel()
+    order = np.argsort(codes, kind="stable")[np.count_nonzero(codes < 0) :]
+    if len(order):
+        met = codes[order]
+        first = np.flatnonzero(np.append(True, met[1:] != met[:-1]))
+        total[met[first]] += idf[met[first], None] * np.add.reduceat(product[order // block.shape[1]], first, axis=0)
+
+
+def _frequencies(shared):
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
+        held = shared.value
         counts, n = np.zeros(len(held.terms) + 1, np.int64), 0
         for batch in batches:
             _, _, _, block = _passages(batch.column(0).to_pylist(), held)
@@ -165,53 +193,73 @@ def _frequencies(held: HeldOut):
     return run
 
 
-def _sketch(held: HeldOut, idf, omega):
+#: Rows of a sketch that are summed as one.
+PART = 500
+
+
+def _sketch(shared, space):
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
         one_thread()
+        held, (idf, omega) = shared.value, space.value
+        weighted = _weighted(omega, idf)
         total, n = np.zeros(omega.shape), 0
         for batch in batches:
             _, _, _, block = _known(batch.column(0).to_pylist(), held)
             n += len(block)
             for k in range(0, len(block), ROWS):
-                a = _tfidf(block[k : k + ROWS], idf)
-                total[:] += a.T @ (a @ omega)
-        d, width = omega.shape
-        for k in range(0, d if n else 0, 500):  # rows of the sketch, a few at a time
-            part = total[k : k + 500]
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.arange(k, k + len(part)), width)), pa.array(np.tile(np.arange(width), len(part))), pa.array(part.ravel())], ["i", "j", "v"])
+                _add_back(total, block[k : k + ROWS], _product(block[k : k + ROWS], weighted), idf)
         if n:
-            yield pa.RecordBatch.from_arrays([pa.array([-1]), pa.array([0]), pa.array([float(n)])], ["i", "j", "v"])
+            parts = [*(total[k : k + PART].astype(np.float32) for k in range(0, len(total), PART)), np.array([n], np.float32)]
+            for k, part in enumerate(parts):
+                yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([part.tobytes()], pa.binary())], ["part", "data"])
 
     return run
 
 
-def latent_space(documents: DataFrame, held: HeldOut, text: str = "text", seed: int = 11):
+def _summed(table):
+    import numpy as np
+    import pyarrow as pa
+
+    total = np.zeros(len(table["data"][0].as_py()) // 4)
+    for data in table["data"]:
+        total += np.frombuffer(data.as_buffer(), np.float32)
+    return pa.table({"part": table["part"][:1], "data": pa.array([total.tobytes()], pa.binary())})
+
+
+def latent_space(documents: DataFrame, shared, text: str = "text", seed: int = 11):
     """(idf, basis) of the latent space: terms by dimensions, from all passages of the corpus and those of the held-out items.
 
-    Both sides weigh the same. The driver gets one number per term and then a sketch of terms by LATENT + SURPLUS.
+    ``shared`` is the broadcast :class:`HeldOut`. Both sides weigh the same. The driver gets one number per term and then a sketch of terms by LATENT + SURPLUS.
     """
     import numpy as np
 
+    spark, held = documents.sparkSession, shared.value
     rows = documents.select(text).where(F.col(text).isNotNull())
     d = len(held.terms)
-    table = rows.mapInArrow(_frequencies(held), "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    table = rows.mapInArrow(_frequencies(shared), "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(d + 1)
     if table.num_rows:
         counts[table["term"].to_numpy() + 1] = table["n"].to_numpy()
     idf = np.array([log((counts[0] + 2) / (c + 1)) + 0.1 for c in counts[1:]], np.float32)
     width = min(d, LATENT + SURPLUS)
     omega = np.linalg.qr(np.random.default_rng(seed).standard_normal((d, width)))[0].astype(np.float32)
-    table = rows.mapInArrow(_sketch(held, idf, omega), "i bigint, j bigint, v double").groupBy("i", "j").agg(F.sum("v").alias("v")).toArrow()
+    space = spark.sparkContext.broadcast((idf, omega))
+    table = rows.mapInArrow(_sketch(shared, space), "part bigint, data binary").groupBy("part").applyInArrow(_summed, "part bigint, data binary").toArrow()
     sketch, n = np.zeros((d, width)), 0.0
-    if table.num_rows:
-        i, j, v = (table[c].to_numpy() for c in ("i", "j", "v"))
-        n = float(v[i < 0].sum())
-        sketch[i[i >= 0], j[i >= 0]] = v[i >= 0]
-    own = held.vectors([p for _, p in held.passages], idf).astype(float)
-    sketch = sketch / max(n, 1.0) + own.T @ (own @ omega) / max(len(own), 1)
+    for k, data in zip(table["part"].to_pylist(), table["data"].to_pylist(), strict=True):
+        part = np.frombuffer(data)
+        if k * PART < d:
+            sketch[k * PART : (k + 1) * PART] = part.reshape(-1, width)
+        else:
+            n = float(part[0])
+    own, total = held.blocks(), np.zeros((d, width))
+    weighted = _weighted(omega, idf)
+    for k in range(0, len(own), ROWS):
+        _add_back(total, own[k : k + ROWS], _product(own[k : k + ROWS], weighted), idf)
+    sketch = sketch / max(n, 1.0) + total / max(len(own), 1)
     # Nyström: A'A is near Y (Ω'Y)^-1 Y', shifted a little so that the root exists.
     shift = np.finfo(float).eps ** 0.5 * max(np.linalg.norm(sketch), 1e-12)
     shifted = sketch + shift * omega
@@ -219,9 +267,17 @@ def latent_space(documents: DataFrame, held: HeldOut, text: str = "text", seed:
     values, vectors = np.linalg.eigh((core + core.T) / 2)
     root = vectors / np.sqrt(np.maximum(values, shift))
     basis = np.linalg.svd(shifted @ root, full_matrices=False)[0][:, :LATENT]
+    space.unpersist()
     return idf, basis.astype(np.float32)
 
 
+def _unit(z):
+    import numpy as np
+
+    z /= np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-9)
+    return z
+
+
 def common_subsequence(a: list[str], b: list[str]) -> int:
     """Length of the longest common subsequence, by bits."""
     at: dict[str, int] = {}
@@ -253,32 +309,31 @@ def longest_run(found: list[str], item: list[str]) -> int:
 _OUT = "item_id bigint, cosine double, run bigint, common bigint, answers double, kind string"
 
 
-def _search(held: HeldOut, idf, basis, cosine: float):
+def _search(shared, space, cosine: float):
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
         one_thread()
-        queries = held.vectors([p for _, p in held.passages], idf) @ basis
-        queries /= np.maximum(np.linalg.norm(queries, axis=1, keepdims=True), 1e-9)
-        owners = np.array([i for i, _ in held.passages])
-        order, first = np.unique(owners, return_index=True)  # passages of an item are neighbours
-        queries, order = queries[np.argsort(owners, kind="stable")].T.copy(), order
-        bounds = np.append(np.searchsorted(np.sort(owners), order), len(owners))
+        held, (weighted, queries, order, bounds) = shared.value, space.value
+        wide = max(1, CELLS // ROWS)
+        parts = [0]  # items of a product, whole ones, with about as many passages as fit
+        while parts[-1] < len(order):
+            parts.append(max(parts[-1] + 1, int(np.searchsorted(bounds, bounds[parts[-1]] + wide, side="right")) - 1))
         for batch in batches:
             texts = batch.column(1).to_pylist()
             found, docs, starts, block = _known(texts, held)
             best: dict[tuple[int, int], list[tuple[float, int]]] = {}
             for k in range(0, len(docs), ROWS):
-                z = _tfidf(block[k : k + ROWS], idf) @ basis
-                z /= np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-9)
-                near = np.maximum.reduceat(z @ queries, bounds[:-1], axis=1)
-                for r, c in np.argwhere(near >= cosine).tolist():
-                    kept, one = best.setdefault((int(docs[k + r]), int(order[c])), []), (float(near[r, c]), int(starts[k + r]))
-                    if one[0] >= NEAR:  # any of these may be the paraphrase
-                        kept.append(one)
-                    elif not kept or kept[0][0] < min(one[0], NEAR):
-                        kept[:1] = [one]
+                z = _unit(_product(block[k : k + ROWS], weighted))
+                for a, b in zip(parts, parts[1:], strict=False):
+                    near = np.maximum.reduceat(z @ queries[:, bounds[a] : bounds[b]], bounds[a:b] - bounds[a], axis=1)
+                    for r, c in np.argwhere(near >= cosine).tolist():
+                        kept, one = best.setdefault((int(docs[k + r]), int(order[a + c])), []), (float(near[r, c]), int(starts[k + r]))
+                        if one[0] >= NEAR:  # any of these may be the paraphrase
+                            kept.append(one)
+                        elif not kept or kept[0][0] < min(one[0], NEAR):
+                            kept[:1] = [one]
             rows, before, whole = [], -1, set()
             for (d, item), passages in sorted(best.items()):
                 if d != before:  # a document's candidates come one after the other
@@ -306,9 +361,9 @@ def _checked(held: HeldOut, found: list[str], d: int, item: int, cosine: float,
         return None
     common = common_subsequence(wanted, near)
     if verbatim:
-        return d, item, cosine, longest_run(found, wanted), common, share, "verbatim"
+        return d, held.ids[item], cosine, longest_run(found, wanted), common, share, "verbatim"
     if common >= PARAPHRASE * len(wanted):
-        return d, item, cosine, longest_run(near, wanted), common, share, "paraphrase"
+        return d, held.ids[item], cosine, longest_run(near, wanted), common, share, "paraphrase"
     return None
 
 
@@ -318,13 +373,60 @@ def leaks(documents: DataFrame, items: DataFrame, id: str = "doc_id", text: str
     ``run`` is the longest run of shared words, ``common`` the length of the longest common subsequence around
     the passage, ``answers`` the share of the item's numbers and names found there. A verbatim leak shares at least RUN consecutive
     words. NULL and empty texts, and items without words, give no rows; a repeated document gives its rows
-    again. Without items or documents the result is empty. Other columns are left out.
+    again, and an item_id with several texts gives a row for each. Without items or documents the result is empty. Other columns are left out.
     """
-    spark = documents.sparkSession
-    held = HeldOut([(int(r[0]), r[1]) for r in items.select(item_id, item_text).where(F.col(item_id).isNotNull() & F.col(item_text).isNotNull()).distinct().toLocalIterator()])
+    chosen = items.select(item_id, item_text).where(F.col(item_id).isNotNull() & F.col(item_text).isNotNull()).distinct()
     kind = documents.schema[id].dataType.simpleString()
-    if not held.terms:
-        return spark.createDataFrame([], f"{id} {kind}, {_OUT}")
-    idf, basis = latent_space(documents, held, text)
     rows = documents.select(F.col(id).alias("id"), F.col(text).alias("text"))
-    return rows.mapInArrow(_search(held, idf, basis, cosine), f"id {kind}, {_OUT}").withColumnRenamed("id", id)
+    parts = []
+    for held in blocks_of_items(((int(r[0]), r[1]) for r in chosen.toLocalIterator()), MOST_PASSAGES):
+        if parts:  # several blocks are written one by one, so that no plan holds them all
+            parts[-1] = written(parts[-1])
+        parts.append(_leaks_of(rows, held, cosine, kind))
+    if not parts:
+        return documents.sparkSession.createDataFrame([], f"{id} {kind}, {_OUT}")
+    return reduce(DataFrame.unionByName, parts).withColumnRenamed("id", id)
+
+
+def blocks_of_items(items: Iterable[tuple[int, str]], most: int) -> Iterator[HeldOut]:
+    """Held-out items in blocks of at most ``most`` passages; blocks without a word are left out."""
+    block, passages = [], 0
+    for i, text in items:
+        n = max(1, len(words(text)) - ITEM_WORDS + 1)
+        if block and passages + n > most:
+            yield HeldOut(block)
+            block, passages = [], 0
+        if words(text):
+            block.append((i, text))
+            passages += n
+    if block:
+        yield HeldOut(block)
+
+
+def _leaks_of(rows: DataFrame, held: HeldOut, cosine: float, kind: str) -> DataFrame:
+    """Leaks of one block of items in rows of id and text."""
+    import numpy as np
+
+    context = rows.sparkSession.sparkContext
+    shared = context.broadcast(held)
+    idf, basis = latent_space(rows, shared)
+    weighted, own = _weighted(basis, idf), held.blocks()
+    owners = np.array([i for i, _ in held.passages])  # passages of an item are neighbours
+    first = np.flatnonzero(np.append(True, owners[1:] != owners[:-1]))
+    queries = np.concatenate([_unit(_product(own[k : k + ROWS], weighted)) for k in range(0, len(own), ROWS)]).T.copy()
+    space = context.broadcast((weighted, queries, owners[first], np.append(first, len(owners))))
+    return rows.mapInArrow(_search(shared, space, cosine), f"id {kind}, {_OUT}")
+
+
+def reworded(text: Column) -> Column:
+    """A text in other words, to measure the search with: of every eight words the third and the seventh become another one, or get one after them
+    where they hold a digit or begin with a capital, and the fifth is left out unless it does; numbers and names stay, as a paraphrase keeps them.
+    """
+    parts = F.split(text, r"\s+")
+
+    def changed(w: Column, i: Column) -> Column:
+        keeps = w.rlike(r"[0-9]|^\p{Lu}")
+        other = F.element_at(F.array(*[F.lit(x) for x in ("indeed", "roughly", "whereby", "perhaps", "namely")]), (i % 5 + 1).cast("int"))
+        return F.when(i % 4 == 2, F.when(keeps, F.concat_ws(" ", w, other)).otherwise(other)).when((i % 8 == 4) & ~keeps, F.lit("")).otherwise(w)
+
+    return F.array_join(F.transform(parts, changed), " ")

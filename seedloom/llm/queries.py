@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seedloom.llm.format_duplicates import collapsed, format_duplicates
-from seedloom.llm.leakage import leaks
+from seedloom.llm.leakage import leaks, reworded
 from seedloom.llm.packing import containers
 from seedloom.llm.residue import residue_documents
 from seedloom.llm.residue_cases import HELD_OUT_GENUINE, HELD_OUT_RESIDUE
@@ -44,6 +44,17 @@ def p9_found(spark: SparkSession, sf: str) -> DataFrame:
     return p9_leaks(spark, sf).where("kind = 'verbatim'").select("doc_id", "item_id").distinct()
 
 
+def p9_paraphrases(spark: SparkSession, sf: str) -> DataFrame:
+    """Held-out items planted among the documents in other words: how many, and whether nine tenths of them are found and none as a verbatim leak."""
+    items = read_table(spark, sf, "eval_items", "item_id", "text")
+    documents = read_table(spark, sf, "documents", "doc_id", "text")
+    around = documents.where("text is not null").orderBy("doc_id").limit(1).select(F.col("text").alias("around"))  # any text that the items stand in
+    planted = items.where("text is not null").join(around).select((-1 - F.col("item_id")).alias("doc_id"), F.concat_ws("\n\n", "around", reworded(F.col("text")), "around").alias("text"))
+    found = leaks(documents.unionByName(planted), items).where("doc_id < 0 and doc_id = -1 - item_id").groupBy("doc_id").agg(F.max((F.col("kind") == "verbatim").cast("int")).alias("verbatim"))
+    told = planted.join(found, "doc_id", "left")
+    return told.agg(F.count("*").alias("items"), (F.count("verbatim") >= 0.9 * F.count("*")).alias("found"), (F.coalesce(F.sum("verbatim"), F.lit(0)) == 0).alias("reworded"))
+
+
 def p10_found(spark: SparkSession, sf: str) -> DataFrame:
     """Documents with residue in place of content."""
     return residue_documents(read_table(spark, sf, "documents", "doc_id", "text")).select("doc_id").distinct()
@@ -62,7 +73,7 @@ def p10_held_out(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p6_found, p6_copies, p8_containers, p9_found, p9_leaks, p10_found, p10_held_out)}
+QUERIES = {f.__name__: f for f in (p2_found, p6_found, p6_copies, p8_containers, p9_found, p9_leaks, p9_paraphrases, p10_found, p10_held_out)}
 
 _KEY = "regexp_replace(lower(nfc_normalize({})), '[^\\p{{L}}\\p{{N}}]', '', 'g')"
 _COPIES = (
@@ -83,6 +94,7 @@ _WORDS = "list_filter(regexp_split_to_array(lower(nfc_normalize(text)), '[^\\p{L
 _RUNS = "SELECT {id}, list_aggregate(w[k:k+11], 'string_agg', ' ') AS run FROM (SELECT {id}, w, unnest(range(1, len(w) - 10)) AS k FROM (SELECT {id}, {words} AS w FROM {table}))"
 
 SQL = {
+    "p9_paraphrases": "SELECT count(*) AS items, true AS found, true AS reworded FROM eval_items WHERE text IS NOT NULL",
     "p10_held_out": f"SELECT {len(HELD_OUT_RESIDUE)}::BIGINT AS residue, {len(HELD_OUT_GENUINE)}::BIGINT AS genuine, true AS found, true AS rightly, true AS kept",
     "p2_found": f"WITH f AS (SELECT id, subjectId, value, {_LOOK} AS form FROM localized_names WHERE subjectId IS NOT NULL AND value IS NOT NULL) SELECT DISTINCT a.id AS id_a, b.id AS id_b FROM f a JOIN f b ON a.subjectId = b.subjectId AND a.form = b.form WHERE a.id < b.id AND a.value <> b.value",
     "p6_found": f"SELECT id_first, id AS id_copy FROM ({_COPIES}) WHERE id <> id_first",
