@@ -2,7 +2,8 @@
 
 Method: the bytes of each field are streamed through a skip-and-fold table (everything but letters and digits is
 skipped, letter case is folded, composed letters are taken apart so that both spellings of an accent meet) into rolling
-polynomial hashes modulo two primes; a canonical string is never made. Rows whose hashes collide are verified by a
+polynomial hashes modulo two primes, a block of at most BLOCK letters at a time, so that neither a long text nor a batch of them is ever
+folded as a whole; a canonical string is never made. Rows whose hashes collide are verified by a
 two-pointer comparison with the first row of their group that skips and folds on the way. Rows that collide without being
 equal are grouped again by a streamed digest, so the result is exact up to SHA-256.
 
@@ -20,8 +21,12 @@ import unicodedata
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-P1, P2 = 2147483647, 2147483629
-B1, B2 = 1048583, 786433
+from seedloom.plans.lineage import written
+
+#: Bases of the hashes and the primes that they are taken modulo.
+BASES = ((1048583, 2147483647), (786433, 2147483629))
+#: Letters that are folded at a time.
+BLOCK = 1 << 20
 
 
 @functools.cache
@@ -50,7 +55,7 @@ def fold_table():
 
 
 def folded_codes(text: str):
-    """Folded codes of one text, skipping everything else, as an array."""
+    """Folded codes of a piece of text, skipping everything else, as an array."""
     import numpy as np
 
     table, expansions = fold_table()
@@ -75,13 +80,11 @@ def _powers(n: int, base: int, prime: int):
     return out
 
 
-def rolling_hashes(column):
-    """Two polynomial hashes per value of an Arrow string column; NULL hashes as -1."""
+def _piece_hashes(texts: list[str]):
+    """(letters and digits, hash by each base) of every text of a block."""
     import numpy as np
-    import pyarrow as pa
 
     table, expansions = fold_table()
-    texts = column.fill_null("").to_pylist() if column.null_count else column.to_pylist()
     lengths = np.fromiter(map(len, texts), np.int64, len(texts))
     points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
     rows = np.repeat(np.arange(len(texts)), lengths)
@@ -101,39 +104,77 @@ def rolling_hashes(column):
     ends = np.cumsum(counts)
     place = np.repeat(ends, counts) - 1 - np.arange(len(codes))  # power of the base: the last code has power 0
     longest = 1 << int(counts.max(initial=1)).bit_length()
-    out = []
-    for base, prime in ((B1, P1), (B2, P2)):
+    full, out = np.flatnonzero(counts), []
+    for base, prime in BASES:
         terms = codes * _powers(longest, base, prime)[place] % np.uint64(prime)
         sums = np.zeros(len(texts), np.uint64)
-        full = np.flatnonzero(counts)
         if len(full):
             sums[full] = np.add.reduceat(terms, (ends - counts)[full]) % np.uint64(prime)
-        out.append(((sums + np.uint64(1)) * np.uint64(31) + counts.astype(np.uint64)) % np.uint64(prime))
-    both = (out[0].astype(np.int64) << 31) ^ out[1].astype(np.int64)
+        out.append(sums)
+    return counts, out
+
+
+def rolling_hashes(column, block: int = BLOCK):
+    """Two polynomial hashes per value of an Arrow string column as one number; NULL hashes as -1."""
+    import numpy as np
+    import pyarrow as pa
+
+    n = len(column)
+    counts, sums = np.zeros(n, np.int64), [np.zeros(n, np.uint64) for _ in BASES]
+
+    def add(rows: list[int], pieces: list[str]) -> None:
+        """Rolls pieces, each a row's next one, into the rows' hashes; a row has one piece at most."""
+        more, parts = _piece_hashes(pieces)
+        for (base, prime), total, part in zip(BASES, sums, parts, strict=True):
+            if counts[rows].any():
+                shift = np.array([pow(base, k, prime) for k in more.tolist()], np.uint64)
+                part = (total[rows] * shift + part) % np.uint64(prime)
+            total[rows] = part
+        counts[rows] += more
+
+    rows, pieces, room = [], [], 0
+    for r, value in enumerate(column):
+        text = value.as_py() or ""
+        for k in range(0, len(text), block):
+            piece = text[k : k + block]
+            if rows and (room + len(piece) > block or rows[-1] == r):
+                add(rows, pieces)
+                rows, pieces, room = [], [], 0
+            rows.append(r)
+            pieces.append(piece)
+            room += len(piece)
+    if rows:
+        add(rows, pieces)
+    first, second = [((total + np.uint64(1)) * np.uint64(31) + counts.astype(np.uint64)) % np.uint64(prime) for (_, prime), total in zip(BASES, sums, strict=True)]
+    both = (first.astype(np.int64) << 31) ^ second.astype(np.int64)
     if column.null_count:
         both[column.is_null().to_numpy(zero_copy_only=False)] = -1
     return pa.array(both)
 
 
-def same_content(a: str | None, b: str | None) -> bool:
-    """Two-pointer comparison of two texts that skips and folds on the way; NULL equals NULL only."""
+def same_content(a: str | None, b: str | None, block: int = BLOCK) -> bool:
+    """Two-pointer comparison of two texts that skips and folds on the way, a block at a time; NULL equals NULL only."""
+    import numpy as np
+
     if a is None or b is None or a == b:
         return a is b or a == b
-    table, expansions = fold_table()
 
-    def stream(text):
-        for ch in text:
-            code = int(table[ord(ch)])
-            if code > 0:
-                yield code
-            elif code:
-                yield from expansions[ord(ch)]
-
-    left, right = stream(a), stream(b)
-    for x in left:
-        if x != next(right, None):
+    def refilled(codes, text: str, at: int):
+        while not len(codes) and at < len(text):
+            codes, at = folded_codes(text[at : at + block]), at + block
+        return codes, at
+
+    left = right = np.empty(0, np.int32)
+    i = j = 0
+    while True:
+        left, i = refilled(left, a, i)
+        right, j = refilled(right, b, j)
+        n = min(len(left), len(right))
+        if not n:
+            return len(left) == len(right)
+        if not np.array_equal(left[:n], right[:n]):
             return False
-    return next(right, None) is None
+        left, right = left[n:], right[n:]
 
 
 def _hash(n: int):
@@ -160,8 +201,10 @@ def _verify(n: int):
                 if not ok:  # a true collision: this row is grouped again by a digest of its folded codes
                     digest = hashlib.sha256()
                     for a in own:
-                        codes = folded_codes(a[i]) if a[i] is not None else None
-                        digest.update(b"-" if codes is None else len(codes).to_bytes(8, "little") + codes.tobytes())
+                        digest.update(b"-" if a[i] is None else b"+")
+                        for k in range(0, len(a[i] or ""), BLOCK):
+                            digest.update(folded_codes(a[i][k : k + BLOCK]).tobytes())
+                        digest.update(bytes(4))  # no code is 0
                     digests[i] = digest.hexdigest()
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(n + 1), pa.array(same), pa.array(digests, pa.string())], ["id", "first_id", "same", "digest"])
 
@@ -181,12 +224,12 @@ def format_duplicates(df: DataFrame, id: str = "id", fields: tuple[str, ...] = (
     named = [f"f{k}" for k in range(n)]
     rows = df.select(F.col(id).cast("string").alias("id"), *[F.col(f).cast("string").alias(k) for f, k in zip(fields, named, strict=True)]).where("id is not null")
     schema = "id string, " + ", ".join(f"f{k} string" for k in range(n)) + ", " + ", ".join(f"h{k} bigint" for k in range(n))
-    hashed = rows.mapInArrow(_hash(n), schema)
+    hashed = written(rows.mapInArrow(_hash(n), schema))  # read for the groups and again for their rows
     keys = [f"h{k}" for k in range(n)]
     first = hashed.groupBy(*keys).agg(F.min(F.struct("id", *named)).alias("first"), F.max("id").alias("last")).where("first.id <> last")
     first = first.select(*keys, F.col("first.id").alias("first_id"), *[F.col(f"first.{f}").alias(f"first_{f}") for f in named])
     pairs = hashed.join(first, keys).where("id <> first_id").select("id", *named, "first_id", *[f"first_{f}" for f in named])
-    checked = pairs.mapInArrow(_verify(n), "id string, first_id string, same boolean, digest string")
+    checked = written(pairs.mapInArrow(_verify(n), "id string, first_id string, same boolean, digest string"), "same")
     again = checked.where("not same").select("id", "digest")
     firsts = again.groupBy("digest").agg(F.min("id").alias("first_id"))
     rest = again.join(firsts, "digest").where("id <> first_id")

@@ -10,7 +10,7 @@ from seedloom.llm.leakage import leaks, reworded
 from seedloom.llm.packing import containers
 from seedloom.llm.residue import residue_documents
 from seedloom.llm.residue_cases import HELD_OUT_GENUINE, HELD_OUT_RESIDUE
-from seedloom.llm.visual_text import same_looking
+from seedloom.llm.visual_text import look_classes, one_form, same_looking
 from seedloom.sources.tables import read_table
 
 
@@ -19,6 +19,16 @@ def p2_found(spark: SparkSession, sf: str) -> DataFrame:
     return same_looking(read_table(spark, sf, "localized_names", "id", "subjectId", "value"))
 
 
+def p2_forms(spark: SparkSession, sf: str) -> DataFrame:
+    """The one form of every name."""
+    return one_form(read_table(spark, sf, "localized_names", "id", "value").where("value is not null"), "value", "id").select("id", "form")
+
+
+def p2_classes(spark: SparkSession, sf: str) -> DataFrame:
+    """Names that look like others of their subject: class and number of links."""
+    return look_classes(read_table(spark, sf, "localized_names", "id", "subjectId", "value"))
+
+
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:
     """Names that are copies but for formatting, with the first of their group."""
     return format_duplicates(read_table(spark, sf, "localized_names", "id", "subjectId", "languageTag", "value"))
@@ -73,7 +83,7 @@ def p10_held_out(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p6_found, p6_copies, p8_containers, p9_found, p9_leaks, p9_paraphrases, p10_found, p10_held_out)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_forms, p2_classes, p6_found, p6_copies, p8_containers, p9_found, p9_leaks, p9_paraphrases, p10_found, p10_held_out)}
 
 _KEY = "regexp_replace(lower(nfc_normalize({})), '[^\\p{{L}}\\p{{N}}]', '', 'g')"
 _COPIES = (
@@ -84,8 +94,8 @@ _PLAIN = "".join(map(chr, range(0x21, 0x7F)))
 # Half-width Japanese letters and their ordinary forms; letters of other scripts and the Latin ones they look like; blanks.
 _HALF = "ｦｧｨｩｪｫｬｭｮｯｰｱｲｳｴｵｶｷｸｹｺｻｼｽｾｿﾀﾁﾂﾃﾄﾅﾆﾇﾈﾉﾊﾋﾌﾍﾎﾏﾐﾑﾒﾓﾔﾕﾖﾗﾘﾙﾚﾛﾜﾝ"
 _KANA = "ヲァィゥェォャュョッーアイウエオカキクケコサシスセソタチツテトナニヌネノハヒフヘホマミムメモヤユヨラリルレロワン"
-_OTHER = "аеорсухѕіјАВЕКМНОРСТХοΝΤΑΒΕΖΗΙΚΜΟΡΥΧν"
-_LATIN = "aeopcyxsijABEKMHOPCTXoNTABEZHIKMOPYXv"
+_OTHER = "аеорсухѕіјАВЕКМНОРСТХοΝΤΑΒΕΖΗΙΚΜΟΡΥΧνӓӧїёѐӑӒӦЇЁЀ"
+_LATIN = "aeopcyxsijABEKMHOPCTXoNTABEZHIKMOPYXväöïëèăÄÖÏËÈ"
 _BLANKS = "   　"
 _FROM = (_FULL + _HALF + _OTHER + _BLANKS).replace("'", "''") + "ﾞﾟ" + "ό"
 _TO = (_PLAIN + _KANA + _LATIN).replace("'", "''") + " " * len(_BLANKS) + "゙゚" + "ó"
@@ -97,6 +107,8 @@ SQL = {
     "p9_paraphrases": "SELECT count(*) AS items, true AS found, true AS reworded FROM eval_items WHERE text IS NOT NULL",
     "p10_held_out": f"SELECT {len(HELD_OUT_RESIDUE)}::BIGINT AS residue, {len(HELD_OUT_GENUINE)}::BIGINT AS genuine, true AS found, true AS rightly, true AS kept",
     "p2_found": f"WITH f AS (SELECT id, subjectId, value, {_LOOK} AS form FROM localized_names WHERE subjectId IS NOT NULL AND value IS NOT NULL) SELECT DISTINCT a.id AS id_a, b.id AS id_b FROM f a JOIN f b ON a.subjectId = b.subjectId AND a.form = b.form WHERE a.id < b.id AND a.value <> b.value",
+    "p2_forms": f"SELECT id, {_LOOK} AS form FROM localized_names WHERE value IS NOT NULL",
+    "p2_classes": f"WITH f AS (SELECT id, subjectId, value, {_LOOK} AS form FROM localized_names WHERE subjectId IS NOT NULL AND value IS NOT NULL), c AS (SELECT *, min(id) OVER k AS class_id, count(*) OVER k AS n, count(*) OVER (PARTITION BY subjectId, form, value) AS alike FROM f WINDOW k AS (PARTITION BY subjectId, form)) SELECT id, class_id, n - alike AS links FROM c WHERE n > alike",
     "p6_found": f"SELECT id_first, id AS id_copy FROM ({_COPIES}) WHERE id <> id_first",
     "p6_copies": f"SELECT id_first AS id, count(*) AS copies FROM ({_COPIES}) GROUP BY id_first",
     "p9_found": f"SELECT DISTINCT doc_id, item_id FROM ({_RUNS.format(id='doc_id', words=_WORDS, table='documents')}) d JOIN ({_RUNS.format(id='item_id', words=_WORDS, table='eval_items')}) i USING (run)",

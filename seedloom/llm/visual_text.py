@@ -11,24 +11,30 @@ from __future__ import annotations
 import functools
 import sys
 import unicodedata
+from itertools import chain
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from seedloom.plans.lineage import written
+
 # Letters that can't be told from Latin ones, by script.
 LOOK_ALIKES = {
     # Cyrillic
-    "А": "A", "В": "B", "Е": "E", "З": "3", "К": "K", "М": "M", "Н": "H", "О": "O", "Р": "P", "С": "C", "Т": "T", "У": "Y", "Х": "X", "Ѕ": "S",
-    "І": "I", "Ј": "J", "Ԁ": "D", "Ԛ": "Q", "Ԝ": "W", "а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "ѕ": "s", "і": "i",
+    "А": "A", "В": "B", "Е": "E", "К": "K", "М": "M", "Н": "H", "О": "O", "Р": "P", "С": "C", "Т": "T", "У": "Y", "Х": "X", "Ѕ": "S",
+    "І": "I", "Ј": "J", "Ԛ": "Q", "Ԝ": "W", "а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "ѕ": "s", "і": "i",
     "ј": "j", "һ": "h", "ԁ": "d", "ԛ": "q", "ԝ": "w", "ӏ": "l",
     # Greek
     "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X",
     "ν": "v", "ο": "o", "ϲ": "c", "ϳ": "j",
     # Armenian, Latin extensions
-    "օ": "o", "ո": "n", "ս": "u", "ɡ": "g", "ɑ": "a", "ı": "i",
+    "օ": "o", "ո": "n", "ս": "u", "ɡ": "g", "ɑ": "a", "Օ": "O", "Ս": "U", "ᴄ": "c", "ᴏ": "o", "ᴠ": "v", "ᴡ": "w", "ᴢ": "z", "ꜱ": "s",
+    # Cherokee
+    "Ꭰ": "D", "Ꭱ": "R", "Ꭲ": "T", "Ꭺ": "A", "Ꭻ": "J", "Ꭼ": "E", "Ꮃ": "W", "Ꮇ": "M", "Ꮋ": "H", "Ꮓ": "Z", "Ꮩ": "V", "Ꮪ": "S", "Ꮮ": "L", "Ꮯ": "C", "Ꮲ": "P", "Ꮶ": "K", "Ᏼ": "B",
+    # Lisu
+    "ꓐ": "B", "ꓑ": "P", "ꓓ": "D", "ꓔ": "T", "ꓖ": "G", "ꓗ": "K", "ꓙ": "J", "ꓚ": "C", "ꓜ": "Z", "ꓝ": "F", "ꓟ": "M", "ꓠ": "N", "ꓡ": "L", "ꓢ": "S", "ꓣ": "R", "ꓦ": "V", "ꓧ": "H", "ꓪ": "W", "ꓫ": "X", "ꓬ": "Y", "ꓮ": "A", "ꓰ": "E", "ꓲ": "I", "ꓳ": "O", "ꓴ": "U",
 }
-del LOOK_ALIKES["З"], LOOK_ALIKES["Ԁ"], LOOK_ALIKES["ı"]  # these can be told apart
 
 #: Compatibility forms that look like their ordinary ones; raised, lowered, circled and squared ones look different.
 SAME_LOOK = ("<wide>", "<narrow>", "<noBreak>", "<compat>", "<font>", "<initial>", "<medial>", "<final>", "<isolated>")
@@ -95,18 +101,21 @@ def form_sql(column: str) -> str:
 
 
 def _form(batches):
+    """Batches with their last column's form; DuckDB streams them through one query, which is parsed once a task."""
     import duckdb
     import pyarrow as pa
 
-    con = duckdb.connect(config={"threads": 1})
-    sql = f"SELECT i, {form_sql('v')} AS form FROM rows ORDER BY i"
-    for batch in batches:
-        rows = pa.table({"i": pa.array(range(batch.num_rows), pa.int64()), "v": batch.column(batch.num_columns - 1)})
+    batches = iter(batches)
+    first = next(batches, None)
+    if first is None:
+        return
+    schema = pa.schema([*first.schema, pa.field("form", pa.string())])
+    rows = pa.RecordBatchReader.from_batches(first.schema, chain([first], batches))
+    with duckdb.connect(config={"threads": 1}) as con:
+        value = '"' + first.schema.names[-1].replace('"', '""') + '"'
         con.register("rows", rows)
-        form = con.sql(sql).to_arrow_table()["form"].cast(pa.string()).combine_chunks()
-        con.unregister("rows")
-        yield pa.RecordBatch.from_arrays([*batch.columns, form], [*batch.schema.names, "form"])
-    con.close()
+        for batch in con.sql(f"SELECT *, {form_sql(value)} AS form FROM rows").to_arrow_reader(10_000):
+            yield pa.RecordBatch.from_arrays([c.cast(t) for c, t in zip(batch.columns, schema.types, strict=True)], schema=schema)
 
 
 def one_form(df: DataFrame, value: str, *keep: str) -> DataFrame:
@@ -122,14 +131,32 @@ def one_form(df: DataFrame, value: str, *keep: str) -> DataFrame:
     return rows.mapInArrow(_form, schema)
 
 
+def _forms(df: DataFrame, id: str, subject: str, value: str) -> DataFrame:
+    """id, subject, value and form of the records that have them, written once."""
+    rows = df.select(F.col(id).cast("string").alias("id"), F.col(subject).cast("string").alias("subject"), F.col(value).alias("value")).where("id is not null and subject is not null and value is not null")
+    return written(one_form(rows, "value", "id", "subject"))
+
+
+def look_classes(df: DataFrame, id: str = "id", subject: str = "subjectId", value: str = "value") -> DataFrame:
+    """One row per record that looks like another: id, class_id (the smallest id of those that look the same), links (ids of the class with other characters).
+
+    Classes are counted, never listed, so a class may hold any share of the records. Rows with a NULL in id, subject or value take no
+    part; a repeated row counts once, and an id with several values has a row for each class.
+    """
+    forms = _forms(df, id, subject, value).distinct()
+    classes = forms.groupBy("subject", "form").agg(F.min("id").alias("class_id"), F.count("*").alias("members"), F.min("value").alias("least"), F.max("value").alias("most")).where("least <> most")
+    alike = forms.groupBy("subject", "value").agg(F.count("*").alias("alike"))
+    linked = forms.join(classes.drop("least", "most"), ["subject", "form"]).join(alike, ["subject", "value"])
+    return linked.groupBy("id", "class_id").agg(F.max(F.col("members") - F.col("alike")).alias("links"))
+
+
 def same_looking(df: DataFrame, id: str = "id", subject: str = "subjectId", value: str = "value") -> DataFrame:
     """Pairs of records of one subject whose values look the same but differ in their characters: id_a, id_b (id_a is smaller).
 
-    Records that are equal to the character form no pair, so the pairs are made from distinct (subject, form, value) classes.
-    Rows with a NULL in id, subject or value take no part; repeated ids give one pair.
+    As many rows as there are pairs, which is what is asked; :func:`look_classes` is the form for classes of any size. Records that are equal to the
+    character form no pair. Rows with a NULL in id, subject or value take no part; repeated ids give one pair.
     """
-    rows = df.select(F.col(id).cast("string").alias("id"), F.col(subject).cast("string").alias("subject"), F.col(value).alias("value")).where("id is not null and subject is not null and value is not null")
-    forms = one_form(rows, "value", "id", "subject")
+    forms = _forms(df, id, subject, value)
     # Only forms that are written in more than one way can give pairs; least and greatest combine before the shuffle.
     several = forms.groupBy("subject", "form").agg(F.min("value").alias("least"), F.max("value").alias("most")).where("least <> most").select("subject", "form")
     forms = forms.join(several, ["subject", "form"], "left_semi")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from seedloom.llm import format_duplicates as fd
 from seedloom.llm import leakage, packing, residue
-from seedloom.llm.visual_text import one_form, same_looking
+from seedloom.llm.visual_text import look_classes, one_form, same_looking
 
 
 def rows(df):
@@ -45,6 +45,15 @@ def test_pairs(spark):
     assert same_looking(df.limit(0)).collect() == []
 
 
+def test_classes(spark):
+    data = [("1", "s", "ｆern"), ("2", "s", "fern"), ("3", "s", "fern"), ("4", "t", "fern"), ("5", None, "fern"), ("7", "s", None), ("8", "s", "Fern"), ("2", "s", "fern"), (None, "s", "ｆern"), ("9", "s", "fe\u200brn")]
+    df = spark.createDataFrame(data, "id string, subjectId string, value string").withColumn("links", F.lit("clash"))
+    assert rows(look_classes(df).select("id", "class_id", "links")) == [("1", "1", 3), ("2", "1", 2), ("3", "1", 2), ("9", "1", 3)]
+    hot = spark.range(20_000).select(F.col("id").cast("string").alias("id"), F.lit("s").alias("subjectId"), F.when(F.col("id") % 2 == 0, "fern").otherwise("f\u0435rn").alias("value"))
+    assert rows(look_classes(hot).groupBy("class_id", "links").count()) == [("0", 10_000, 20_000)]  # a hundred million pairs
+    assert look_classes(df.limit(0)).collect() == []
+
+
 # --- formatting
 
 
@@ -65,6 +74,18 @@ def test_hashes_follow_content(pairs):
             assert (x == y) == fd.same_content(a, b) == (naive_key(a) == naive_key(b))
 
 
+@settings(deadline=None)
+@given(st.lists(st.text("aÀàé́eßẞ1٣ -_Ǻガ゙", max_size=30) | st.none(), max_size=6), st.integers(1, 9))
+def test_blocks_change_nothing(texts, block):
+    import pyarrow as pa
+
+    column = pa.array(texts, pa.string())
+    assert fd.rolling_hashes(column, block).to_pylist() == fd.rolling_hashes(column).to_pylist()
+    for a in texts:
+        for b in texts:
+            assert fd.same_content(a, b, block) == (naive_key(a) == naive_key(b))
+
+
 def test_copies(spark):
     data = [
         ("b", "S-1", "en", "Red Leaf"), ("a", "s1", "EN", "red-leaf!"), ("c", "S 1", "en", "REDLEAF"), ("d", "s1", "en", "réd leaf"), ("e", "s1", "en", "réd leaf"), ("f", None, "en", "x"), ("g", None, "en", "X"),
