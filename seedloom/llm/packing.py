@@ -2,7 +2,7 @@
 
 Method: a grouping genetic algorithm. An individual is a list of whole containers; crossover injects well-filled containers of
 one parent into the other, removes the other's containers that would hold an item twice and puts the displaced items back by best
-fit. The items are cut at random into regions of bounded size, and each region is evolved on several islands, one task
+fit; mutation opens slack containers and refills each with the items that leave the least room. The items are cut at random into regions of bounded size, and each region is evolved on several islands, one task
 each; after a round the islands' elites migrate to the next island of the region. The best individual of a region
 counts. Its containers that stayed slack are opened, and their items are packed once more over regions of their own. An island
 whose first individual needs no more containers than the total size asks for stops at once, as nothing can be better.
@@ -28,7 +28,9 @@ CUT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 #: Items of a region; regions are drawn at random, so they have about as many.
 REGION = 2000
-ISLANDS, ROUNDS, POPULATION, GENERATIONS = 2, 2, 8, 8
+ISLANDS, ROUNDS, POPULATION, GENERATIONS = 2, 2, 8, 20
+#: Mutations of every child.
+MUTATIONS = 4
 #: A container filled less than this is opened once for the second pass.
 SLACK = 0.98
 
@@ -88,13 +90,43 @@ def _crossover(a: list[list[int]], b: list[list[int]], sizes: list[int], capacit
     return _best_fit(displaced, sizes, capacity, child)
 
 
+def _refilled(loose: list[int], sizes: list[int], capacity: int) -> list[list[int]]:
+    """Containers of loose items: the largest one left, then again and again the one or two that leave the least room."""
+    left = sorted(((sizes[i], i) for i in loose))
+    bins = []
+    while left:
+        room, first = left.pop()
+        room, filled = capacity - room, [first]
+        while left and left[0][0] <= room:
+            best, pick = -1, ()
+            top = bisect_left(left, (room + 1, -1))
+            if top:
+                best, pick = left[top - 1][0], (top - 1,)
+            for k in range(top - 1, 0, -1):  # two that fit, the larger one at k
+                if best == room or left[k][0] + left[k - 1][0] <= best:
+                    break
+                other = min(bisect_left(left, (room - left[k][0] + 1, -1)), k) - 1
+                if other >= 0 and left[k][0] + left[other][0] > best:
+                    best, pick = left[k][0] + left[other][0], (k, other)
+            for k in pick:  # the larger place first
+                room -= left[k][0]
+                filled.append(left.pop(k)[1])
+        bins.append(filled)
+    return bins
+
+
 def _mutated(bins: list[list[int]], sizes: list[int], capacity: int, random: Random) -> list[list[int]]:
-    """The slackest containers, and a few others, are opened and their items put back."""
-    ranked = sorted(range(len(bins)), key=lambda k: sum(sizes[i] for i in bins[k]))
-    opened = set(ranked[:2]) | set(random.sample(range(len(bins)), min(len(bins), 3)))
-    loose = [i for k in opened for i in bins[k]]
-    loose.sort(key=lambda i: sizes[i] * random.uniform(0.8, 1.2), reverse=True)
-    return _best_fit(loose, sizes, capacity, [list(b) for k, b in enumerate(bins) if k not in opened])
+    """The slackest containers, and a few others, are opened and their items put into others with as little room left as can be."""
+    fills = [sum(sizes[i] for i in b) for b in bins]
+    ranked = sorted(range(len(bins)), key=fills.__getitem__)
+    few = 2 + len(bins) // 20
+    slack = [k for k in ranked[: 3 * few] if fills[k] < capacity]
+    opened = set(random.sample(slack, min(few, len(slack)))) | set(random.sample(range(len(bins)), min(len(bins), few)))
+    loose = [i for k in sorted(opened) for i in bins[k]]
+    again = _refilled(loose, sizes, capacity)
+    if len(again) > len(opened):
+        again = [bins[k] for k in opened]
+    return [list(b) for k, b in enumerate(bins) if k not in opened] + again
 
 
 def evolve(sizes: list[int], capacity: int, seed: int, elites: list[list[list[int]]], generations: int = GENERATIONS, population: int = POPULATION, keep: int = 2) -> list[list[list[int]]]:
@@ -116,7 +148,7 @@ def evolve(sizes: list[int], capacity: int, seed: int, elites: list[list[list[in
         for _ in range(population // 2):
             a, b = (max(random.sample(ranked, 2))[2] for _ in range(2))
             child = _crossover(a, b, sizes, capacity, random)
-            if random.random() < 0.5:
+            for _ in range(MUTATIONS):
                 child = _mutated(child, sizes, capacity, random)
             children.append(child)
         ranked = sorted([*ranked, *((_fitness(c, sizes, capacity), -1 - k, c) for k, c in enumerate(children))], key=lambda x: x[0], reverse=True)[:population]
@@ -144,7 +176,7 @@ def _bins(labels: list[int]) -> list[list[int]]:
 _STATE = "pack_id int, capacity bigint, region bigint, island int, sizes array<bigint>, elites array<array<int>>, done boolean"
 
 
-def _island(turn: int):
+def _island(turn: int, generations: int):
     def run(batches) -> Iterator:
         import pyarrow as pa
 
@@ -157,7 +189,7 @@ def _island(turn: int):
                     best = incoming[:1]
                 else:
                     seed = hash((r["pack_id"], r["region"], r["island"], turn))
-                    best = evolve(r["sizes"], r["capacity"], seed, incoming)
+                    best = evolve(r["sizes"], r["capacity"], seed, incoming, generations)
                 least = max(1, -(-sum(r["sizes"]) // r["capacity"]))
                 out.append({k: r[k] for k in ("pack_id", "capacity", "region", "island", "sizes")} | {"elites": [_labels(b, len(r["sizes"])) for b in best], "done": min(map(len, best)) <= least})
             fields = [("pack_id", pa.int32()), ("capacity", pa.int64()), ("region", pa.int64()), ("island", pa.int32()), ("sizes", pa.list_(pa.int64())), ("elites", pa.list_(pa.list_(pa.int32()))), ("done", pa.bool_())]
@@ -166,7 +198,7 @@ def _island(turn: int):
     return run
 
 
-def _pack(items: DataFrame, region_size: int, islands: int, rounds: int) -> DataFrame:
+def _pack(items: DataFrame, region_size: int, islands: int, rounds: int, generations: int) -> DataFrame:
     """items (pack_id, capacity, id, piece, size, draw) with region and bin; ``items`` is a written table."""
     regions = items.groupBy("pack_id").agg(F.greatest(F.lit(1), F.round(F.count("*") / region_size).cast("bigint")).alias("regions"))
     packs = {r.pack_id: r.regions for r in regions.collect()}  # one number per capacity
@@ -181,7 +213,7 @@ def _pack(items: DataFrame, region_size: int, islands: int, rounds: int) -> Data
     for turn in range(rounds):
         columns = ["pack_id", "capacity", "region", "island", "sizes", "elites", "migrants", "done"]
         spread = state.select(*columns).repartition("pack_id", "region", "island")  # one lane, not a whole file, is a task's unit
-        state = written(spread.mapInArrow(_island(turn), _STATE))
+        state = written(spread.mapInArrow(_island(turn, generations), _STATE))
         if turn + 1 < rounds:
             moved = state.select("pack_id", "region", F.pmod(F.col("island") + 1, F.lit(islands)).cast("int").alias("island"), F.slice("elites", 1, 1).alias("migrants"))
             state = state.join(moved, ["pack_id", "region", "island"])
@@ -192,12 +224,13 @@ def _pack(items: DataFrame, region_size: int, islands: int, rounds: int) -> Data
     return rows.select("pack_id", "capacity", F.col("m.members.id").alias("id"), F.col("m.members.piece").alias("piece"), F.col("m.members.size").alias("size"), "region", F.col("m.labels").alias("bin"))
 
 
-def containers(documents: DataFrame, packs: DataFrame, id: str = "doc_id", text: str = "text", vocabulary: str = VOCABULARY, measure: Callable[..., DataFrame] = token_lengths, region_size: int = REGION, islands: int = ISLANDS, rounds: int = ROUNDS) -> DataFrame:
+def containers(documents: DataFrame, packs: DataFrame, id: str = "doc_id", text: str = "text", vocabulary: str = VOCABULARY, measure: Callable[..., DataFrame] = token_lengths, region_size: int = REGION, islands: int = ISLANDS, rounds: int = ROUNDS, generations: int = GENERATIONS) -> DataFrame:
     """Assignment of every text to a container, for each capacity: pack_id, id, piece, n_tokens, container.
 
     A text longer than the capacity is cut into full pieces, each a container of its own, and a rest that is packed like a text;
     other texts have piece 0 only. NULL texts are left out, empty ones fill no room but have a place. Capacities that are NULL
-    or below 1 are left out. A repeated id is packed as often as it is delivered. An empty table gives no rows.
+    or below 1 are left out. A repeated id is packed as often as it is delivered. An empty table gives no rows. With 0 ``generations``
+    the result is that of best fit alone.
     """
     lengths = written(measure(documents, id, text, vocabulary).where("size is not null"))
     sizes = packs.select(F.col("pack_id").cast("int").alias("pack_id"), F.col("capacity_tokens").cast("bigint").alias("capacity")).where("capacity > 0 and pack_id is not null").distinct().limit(1001).collect()
@@ -214,7 +247,7 @@ def containers(documents: DataFrame, packs: DataFrame, id: str = "doc_id", text:
     open_items = written(items.where("rest > 0 or full = 0").select("pack_id", "capacity", "id", F.col("full").alias("piece"), F.col("rest").alias("size"), "draw"))
     parts = [alone]
     for level in ("a", "b"):
-        packed = _pack(open_items, region_size, islands, rounds)
+        packed = _pack(open_items, region_size, islands, rounds, generations)
         name = F.concat_ws("-", F.lit(level), "region", "bin").alias("container")
         if level == "a":
             packed = written(packed)

@@ -44,6 +44,25 @@ def p8_containers(spark: SparkSession, sf: str) -> DataFrame:
     return containers(read_table(spark, sf, "documents", "doc_id", "text"), read_table(spark, sf, "pack_sizes"))
 
 
+_LONG = "200 + doc_id * 7919 % 401"
+
+
+def p8_long_items(spark: SparkSession, sf: str) -> DataFrame:
+    """Items of a fifth to three fifths of a container, one for each document, on which best fit alone wastes room: how many items, the least number of
+    containers that their sizes ask for, whether each item is in one container and none too full, and whether evolution needs fewer containers, or no more than the least number.
+    """
+    documents = read_table(spark, sf, "documents", "doc_id", "text")
+    packs = spark.createDataFrame([(1, 1000)], "pack_id int, capacity_tokens int")
+    measure = lambda df, id, text, vocabulary: df.select(F.col(id).alias("id"), F.expr(f"cast({_LONG} as bigint)").alias("size"))
+    packed = containers(documents, packs, measure=measure)
+    plain = containers(documents, packs, measure=measure, generations=0).agg(F.count_distinct("container").alias("plain"))
+    fills = packed.groupBy("container").agg(F.sum("n_tokens").alias("filled"))
+    sums = fills.agg(F.count("*").alias("used"), F.max("filled").alias("fullest"))
+    items = packed.agg(F.count("*").alias("items"), F.count_distinct("doc_id").alias("ids"), F.ceil(F.sum("n_tokens") / 1000).alias("least"))
+    row = items.join(sums).join(plain)  # one row each
+    return row.select("items", "least", ((F.col("items") == F.col("ids")) & (F.col("fullest") <= 1000) & (F.col("used") >= F.col("least"))).alias("valid"), ((F.col("used") < F.col("plain")) | (F.col("used") == F.col("least"))).alias("better"))
+
+
 def p9_leaks(spark: SparkSession, sf: str) -> DataFrame:
     """Verbatim and paraphrased leaks of held-out items, with their measures."""
     return leaks(read_table(spark, sf, "documents", "doc_id", "text"), read_table(spark, sf, "eval_items", "item_id", "text"))
@@ -83,7 +102,7 @@ def p10_held_out(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_forms, p2_classes, p6_found, p6_copies, p8_containers, p9_found, p9_leaks, p9_paraphrases, p10_found, p10_held_out)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_forms, p2_classes, p6_found, p6_copies, p8_containers, p8_long_items, p9_found, p9_leaks, p9_paraphrases, p10_found, p10_held_out)}
 
 _KEY = "regexp_replace(lower(nfc_normalize({})), '[^\\p{{L}}\\p{{N}}]', '', 'g')"
 _COPIES = (
@@ -104,6 +123,7 @@ _WORDS = "list_filter(regexp_split_to_array(lower(nfc_normalize(text)), '[^\\p{L
 _RUNS = "SELECT {id}, list_aggregate(w[k:k+11], 'string_agg', ' ') AS run FROM (SELECT {id}, w, unnest(range(1, len(w) - 10)) AS k FROM (SELECT {id}, {words} AS w FROM {table}))"
 
 SQL = {
+    "p8_long_items": f"SELECT count(*) AS items, ceil(sum({_LONG}) / 1000)::BIGINT AS least, true AS valid, true AS better FROM documents",
     "p9_paraphrases": "SELECT count(*) AS items, true AS found, true AS reworded FROM eval_items WHERE text IS NOT NULL",
     "p10_held_out": f"SELECT {len(HELD_OUT_RESIDUE)}::BIGINT AS residue, {len(HELD_OUT_GENUINE)}::BIGINT AS genuine, true AS found, true AS rightly, true AS kept",
     "p2_found": f"WITH f AS (SELECT id, subjectId, value, {_LOOK} AS form FROM localized_names WHERE subjectId IS NOT NULL AND value IS NOT NULL) SELECT DISTINCT a.id AS id_a, b.id AS id_b FROM f a JOIN f b ON a.subjectId = b.subjectId AND a.form = b.form WHERE a.id < b.id AND a.value <> b.value",

@@ -151,18 +151,27 @@ def test_containers(spark):
     assert packing.containers(df, packs.limit(0), measure=by_words).collect() == []
 
 
-def test_evolution_improves_on_best_fit():
+@pytest.mark.parametrize(("low", "high", "gain"), [(200, 600, 3), (250, 500, 6)])
+def test_evolution_improves_on_best_fit(low, high, gain):
     from random import Random
 
     random = Random(3)
-    sizes = [random.randint(20, 60) for _ in range(120)]
-    first = packing._best_fit(sorted(range(120), key=sizes.__getitem__, reverse=True), sizes, 100, [])
-    island = packing.evolve(sizes, 100, 1, [], generations=30)
-    moved = packing.evolve(sizes, 100, 2, island, generations=30)
+    sizes = [random.randint(low, high) for _ in range(500)]
+    first = packing._best_fit(sorted(range(500), key=sizes.__getitem__, reverse=True), sizes, 1000, [])
+    assert packing.evolve(sizes, 1000, 1, [], generations=0)[0] == first
+    island = packing.evolve(sizes, 1000, 1, [])
+    moved = packing.evolve(sizes, 1000, 2, island)
     for best in (island[0], moved[0]):
-        assert sorted(i for b in best for i in b) == list(range(120)) and all(sum(sizes[i] for i in b) <= 100 for b in best)
-    assert len(moved[0]) <= len(island[0]) <= len(first)
-    assert packing._fitness(moved[0], sizes, 100) >= packing._fitness(first, sizes, 100)
+        assert sorted(i for b in best for i in b) == list(range(500)) and all(sum(sizes[i] for i in b) <= 1000 for b in best)
+    assert len(moved[0]) <= len(island[0]) <= len(first) - gain
+    assert len(moved[0]) >= -(-sum(sizes) // 1000)
+
+
+@given(st.lists(st.integers(0, 100), max_size=40))
+@settings(deadline=None)
+def test_refilling_loses_nothing(sizes):
+    bins = packing._refilled(list(range(len(sizes))), sizes, 100)
+    assert sorted(i for b in bins for i in b) == list(range(len(sizes))) and all(b and sum(sizes[i] for i in b) <= 100 for b in bins)
 
 
 @pytest.mark.skipif(not os.path.exists(packing.VOCABULARY), reason="no vocabulary here")
