@@ -12,8 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: A circle can't have more points than this, as a key's periods on it are held in one row.
-MOST_POINTS = 10_000
+#: A circle can't have more points than this, as a key's points on it are one task's work.
+MOST_POINTS = 1_000_000
 
 
 def boundary_events(df: DataFrame, keys: list[str], start: str = "start", end: str = "end") -> DataFrame:
@@ -79,17 +79,15 @@ def circular_periods_and_gaps(df: DataFrame, keys: list[str], start: str, end: s
     """
     if not 0 <= high - low < MOST_POINTS:
         raise ValueError(f"a circle has 1 to {MOST_POINTS} points")
+    n = high - low + 1
     named = [f"k{i}" for i in range(len(keys))]
-    rows = df.select(*[F.col(k).alias(n) for k, n in zip(keys, named, strict=True)], F.col(start).cast("int").alias("s"), F.col(end).cast("int").alias("e")).where(f"s between {low} and {high} and e between {low} and {high}")
-    parts = F.when(F.col("s") <= F.col("e"), F.array(F.struct("s", "e"))).otherwise(F.array(F.struct("s", F.lit(high).alias("e")), F.struct(F.lit(low).alias("s"), "e")))
-    line = _sweep(rows.select(*named, F.explode(parts).alias("w")).select(*named, "w.s", "w.e"), named, None)
-    periods = line.where("kind = 'period'").groupBy(*named).agg(F.array_sort(F.collect_list(F.struct(F.col("start").cast("int").alias("s"), F.col("end").cast("int").alias("e")))).alias("p"))
-    between = "transform(sequence(1, size(p) - 1), i -> named_struct('kind', 'gap', 's', p[i - 1].e + 1, 'e', p[i].s - 1))"
-    inner = f"if(size(p) > 1, {between}, array())"
-    as_periods = "transform({}, x -> named_struct('kind', 'period', 's', x.s, 'e', x.e))"
-    wraps = f"p[0].s = {low} and p[size(p) - 1].e = {high}"
-    over = "array(named_struct('kind', 'period', 's', p[size(p) - 1].s, 'e', p[0].e))"
-    ends = f"array(named_struct('kind', 'gap', 's', if(p[size(p) - 1].e = {high}, {low}, p[size(p) - 1].e + 1), 'e', if(p[0].s = {low}, {high}, p[0].s - 1)))"
-    closed = f"case when size(p) = 1 and {wraps} then {as_periods.format('p')} when {wraps} then concat({over}, {as_periods.format('slice(p, 2, size(p) - 2)')}, {inner}) else concat({as_periods.format('p')}, {inner}, {ends}) end"
-    rows = periods.select(*named, F.expr(f"inline({closed})"))
-    return rows.select(*[F.col(n).alias(k) for k, n in zip(keys, named, strict=True)], "kind", F.col("s").alias("start"), F.col("e").alias("end"))
+    rows = df.select(*[F.col(k).alias(k0) for k, k0 in zip(keys, named, strict=True)], F.col(start).cast("int").alias("s"), F.col(end).cast("int").alias("e")).where(f"s between {low} and {high} and e between {low} and {high}")
+    # The circle is laid out three times on a line. What starts in the middle turn has all of its neighbours there; only what covers a whole
+    # turn, which nothing else can, starts before it and goes on to the end.
+    turns = F.explode(F.transform(F.array(F.lit(0), F.lit(n), F.lit(2 * n)), lambda t: F.struct((F.col("s") + t).alias("s"), (F.col("e") + t + F.when(F.col("s") > F.col("e"), n).otherwise(0)).alias("e"))))
+    line = _sweep(rows.select(*named, turns.alias("w")).select(*named, "w.s", "w.e"), named, None)
+    whole = F.col("end") - F.col("start") + 1 >= n
+    place = lambda c: (F.lit(low) + F.pmod(F.col(c) - low, F.lit(n))).cast("int")
+    chosen = line.where(whole | F.col("start").between(low + n, low + 2 * n - 1))
+    first, last = F.when(whole, low).otherwise(place("start")), F.when(whole, high).otherwise(place("end"))
+    return chosen.select(*[F.col(k0).alias(k) for k, k0 in zip(keys, named, strict=True)], "kind", first.alias("start"), last.alias("end"))

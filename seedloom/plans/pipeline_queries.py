@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seedloom.operators.intervals import circular_periods_and_gaps
+from seedloom.operators.intervals import circular_periods_and_gaps, periods_and_gaps
 from seedloom.operators.nested_tables import flat_paths
 from seedloom.operators.orphans import orphan_state, parent_rows, periodic_counts, referring_rows
 from seedloom.operators.snapshot_diff import snapshot_changes
@@ -40,6 +40,12 @@ def p3_changes(spark: SparkSession, sf: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+def p3_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """How many records changed in each column, per table and snapshot."""
+    changes = p3_changes(spark, sf).where("change = 'changed'").select("table_name", "snapshot_date", F.explode("columns").alias("column"))
+    return changes.groupBy("table_name", "snapshot_date", "column").agg(F.count("*").alias("records"))
+
+
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
     """Record, later snapshot date and type of every change."""
     return p3_changes(spark, sf).drop("columns")
@@ -85,10 +91,20 @@ def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("plantConceptId", "contextId", "kind", F.col("start").alias("start_month"), F.col("end").alias("end_month"))
 
 
+def p5_shipping(spark: SparkSession, sf: str) -> DataFrame:
+    """Continuous periods in which a supplier had parts on their way, taken to take a day for each line number, and the gaps between them, in days since
+    1970; the line is cut into years.
+    """
+    items = read_table(spark, sf, "lineitem", "l_suppkey", "l_shipdate", "l_linenumber")
+    day = F.unix_date(F.col("l_shipdate").cast("date")).cast("bigint")
+    rows = items.select("l_suppkey", day.alias("s"), (day + F.col("l_linenumber")).alias("e"))
+    return periods_and_gaps(rows, ["l_suppkey"], "s", "e", bucket=365)
+
+
 def p7_found(spark: SparkSession, sf: str) -> DataFrame:
     """Every row of the flat child tables by its parent and path."""
     assertions = read_table(spark, sf, "assertions", "id", "value", "context")
     return flat_paths(assertions, read_table(spark, sf, "evidence_references", "id", "rights"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_wide, p1_cells, p3_found, p3_changes, p4_found, p4_counts, p5_found, p7_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_wide, p1_cells, p3_found, p3_changes, p3_columns, p4_found, p4_counts, p5_found, p5_shipping, p7_found)}

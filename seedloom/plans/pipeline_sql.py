@@ -167,7 +167,38 @@ UNION ALL SELECT DISTINCT 'assertions', id, 'context.geographicContextIds[' || (
 UNION ALL SELECT DISTINCT 'evidence_references', id, 'rights.licenceId' FROM evidence_references WHERE rights.licenceId IS NOT NULL
 """
 
+
+
+def _columns(table: str, contents: dict[str, str], rows: str) -> str:
+    """Columns in which a record differs from the snapshot before; one row of a record in a snapshot is as good as another."""
+    listed = ", ".join(f"any_value(coalesce({sql}, '?')) AS {c}" for c, sql in contents.items())
+    pairs = " UNION ALL ".join(f"SELECT day, '{c}' AS \"column\" FROM pairs_{table} WHERE a_{c} <> {c}" for c in contents)
+    return f"""
+    SELECT '{table}' AS table_name, strftime(day, '%Y-%m-%d') AS snapshot_date, "column", count(*) AS records FROM (
+      WITH one AS (SELECT snapshot_date AS day, id, {listed} FROM {rows} WHERE id IS NOT NULL GROUP BY ALL),
+      days AS (SELECT day, lag(day) OVER (ORDER BY day) AS previous FROM (SELECT DISTINCT day FROM one)),
+      pairs_{table} AS (SELECT b.*, {", ".join(f"a.{c} AS a_{c}" for c in contents)} FROM one b JOIN days d ON d.day = b.day JOIN one a ON a.day = d.previous AND a.id = b.id)
+      {pairs}) GROUP BY ALL"""
+
+
+_P3_COLUMNS = " UNION ALL ".join(
+    [
+        _columns("plant_concept_snapshots", {"status": "status", "taxonId": "taxonId", "replacementPlantConceptId": "replacementPlantConceptId", "evidenceReferenceIds": _IDS}, "plant_concept_snapshots"),
+        _columns("assertion_snapshots", {"subjectType": "subjectType", "subjectId": "subjectId", "predicate": "predicate", "value": "value_text", "evidenceReferenceIds": _IDS, "reviewId": "reviewId"}, f"(SELECT * EXCLUDE (value), {_CANONICAL} AS value_text FROM assertion_snapshots)"),
+    ]
+)
+_P5_SHIPPING = """
+WITH i AS (SELECT l_suppkey, (l_shipdate::DATE - DATE '1970-01-01')::BIGINT AS s, (l_shipdate::DATE - DATE '1970-01-01')::BIGINT + l_linenumber AS e FROM lineitem),
+m AS (SELECT *, max(e) OVER (PARTITION BY l_suppkey ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM i),
+n AS (SELECT *, sum((before IS NULL OR s > before + 1)::INT) OVER (PARTITION BY l_suppkey ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS run FROM m),
+p AS (SELECT l_suppkey, run, min(s) AS s, max(e) AS e FROM n GROUP BY ALL)
+SELECT l_suppkey, 'period' AS kind, s AS start, e AS "end" FROM p
+UNION ALL SELECT l_suppkey, 'gap', e + 1, following - 1 FROM (SELECT l_suppkey, e, lead(s) OVER (PARTITION BY l_suppkey ORDER BY s) AS following FROM p) WHERE following IS NOT NULL
+"""
+
 SQL = {
+    "p3_columns": _P3_COLUMNS,
+    "p5_shipping": _P5_SHIPPING,
     "p1_found": _P1,
     "p1_cells": _P1_CELLS,
     "p3_found": _P3,
