@@ -44,6 +44,17 @@ def p8_containers(spark: SparkSession, sf: str) -> DataFrame:
     return containers(read_table(spark, sf, "documents", "doc_id", "text"), read_table(spark, sf, "pack_sizes"))
 
 
+def p8_packed(spark: SparkSession, sf: str) -> DataFrame:
+    """Per capacity: texts that are packed, whether each is whole and no container too full, and whether there is hardly a container more than the tokens ask for."""
+    packs = read_table(spark, sf, "pack_sizes")
+    packed = containers(read_table(spark, sf, "documents", "doc_id", "text"), packs)
+    whole = packed.groupBy("pack_id", "doc_id").agg((F.max("piece") + 1 == F.count("*")).alias("whole"))
+    texts = whole.groupBy("pack_id").agg(F.count("*").alias("texts"), F.every("whole").alias("whole"))
+    fills = packed.groupBy("pack_id", "container").agg(F.sum("n_tokens").alias("filled")).join(packs.select("pack_id", "capacity_tokens"), "pack_id")
+    used = fills.groupBy("pack_id").agg(F.every(F.col("filled") <= F.col("capacity_tokens")).alias("fits"), (F.count("*") <= 1 + 1.01 * F.ceil(F.sum("filled") / F.first("capacity_tokens"))).alias("tight"))
+    return texts.join(used, "pack_id")
+
+
 _LONG = "200 + doc_id * 7919 % 401"
 
 
@@ -102,7 +113,7 @@ def p10_held_out(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_forms, p2_classes, p6_found, p6_copies, p8_containers, p8_long_items, p9_found, p9_leaks, p9_paraphrases, p10_found, p10_held_out)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_forms, p2_classes, p6_found, p6_copies, p8_containers, p8_packed, p8_long_items, p9_found, p9_leaks, p9_paraphrases, p10_found, p10_held_out)}
 
 _KEY = "regexp_replace(lower(nfc_normalize({})), '[^\\p{{L}}\\p{{N}}]', '', 'g')"
 _COPIES = (
@@ -123,6 +134,7 @@ _WORDS = "list_filter(regexp_split_to_array(lower(nfc_normalize(text)), '[^\\p{L
 _RUNS = "SELECT {id}, list_aggregate(w[k:k+11], 'string_agg', ' ') AS run FROM (SELECT {id}, w, unnest(range(1, len(w) - 10)) AS k FROM (SELECT {id}, {words} AS w FROM {table}))"
 
 SQL = {
+    "p8_packed": "SELECT pack_id, count(*) AS texts, true AS whole, true AS fits, true AS tight FROM documents, pack_sizes WHERE text IS NOT NULL GROUP BY pack_id",
     "p8_long_items": f"SELECT count(*) AS items, ceil(sum({_LONG}) / 1000)::BIGINT AS least, true AS valid, true AS better FROM documents",
     "p9_paraphrases": "SELECT count(*) AS items, true AS found, true AS reworded FROM eval_items WHERE text IS NOT NULL",
     "p10_held_out": f"SELECT {len(HELD_OUT_RESIDUE)}::BIGINT AS residue, {len(HELD_OUT_GENUINE)}::BIGINT AS genuine, true AS found, true AS rightly, true AS kept",
