@@ -188,7 +188,7 @@ _P3_COLUMNS = " UNION ALL ".join(
     ]
 )
 _P5_SHIPPING = """
-WITH i AS (SELECT l_suppkey, (l_shipdate::DATE - DATE '1970-01-01')::BIGINT AS s, (l_shipdate::DATE - DATE '1970-01-01')::BIGINT + l_linenumber AS e FROM lineitem),
+WITH i AS (SELECT DISTINCT l_suppkey, (l_shipdate::DATE - DATE '1970-01-01')::BIGINT AS s, (l_shipdate::DATE - DATE '1970-01-01')::BIGINT + l_linenumber AS e FROM lineitem),
 m AS (SELECT *, max(e) OVER (PARTITION BY l_suppkey ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM i),
 n AS (SELECT *, sum((before IS NULL OR s > before + 1)::INT) OVER (PARTITION BY l_suppkey ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS run FROM m),
 p AS (SELECT l_suppkey, run, min(s) AS s, max(e) AS e FROM n GROUP BY ALL)
