@@ -64,7 +64,11 @@ def periods_and_gaps(df: DataFrame, keys: list[str], start: str = "start", end:
 
 
 def _sweep(rows: DataFrame, keys: list[str], bucket: int | None) -> DataFrame:
-    active = _running(boundary_events(rows, keys, "s", "e"), keys, bucket)
+    return _swept(boundary_events(rows, keys, "s", "e"), keys, bucket)
+
+
+def _swept(events: DataFrame, keys: list[str], bucket: int | None) -> DataFrame:
+    active = _running(events, keys, bucket)
     opens, closes = (F.col("active") > 0) & (F.col("active") == F.col("delta")), F.col("active") == 0
     turns = _next_point(active.where(opens | closes), keys, bucket)
     return turns.where("next is not null").select(*keys, F.when(F.col("active") > 0, "period").otherwise("gap").alias("kind"), F.col("point").alias("start"), (F.col("next") - 1).alias("end"))
@@ -83,9 +87,12 @@ def circular_periods_and_gaps(df: DataFrame, keys: list[str], start: str, end: s
     named = [f"k{i}" for i in range(len(keys))]
     rows = df.select(*[F.col(k).alias(k0) for k, k0 in zip(keys, named, strict=True)], F.col(start).cast("int").alias("s"), F.col(end).cast("int").alias("e")).where(f"s between {low} and {high} and e between {low} and {high}")
     # The circle is laid out three times on a line. What starts in the middle turn has all of its neighbours there; only what covers a whole
-    # turn, which nothing else can, starts before it and goes on to the end.
-    turns = F.explode(F.transform(F.array(F.lit(0), F.lit(n), F.lit(2 * n)), lambda t: F.struct((F.col("s") + t).alias("s"), (F.col("e") + t + F.when(F.col("s") > F.col("e"), n).otherwise(0)).alias("e"))))
-    line = _sweep(rows.select(*named, turns.alias("w")).select(*named, "w.s", "w.e"), named, None)
+    # turn, which nothing else can, starts before it and goes on to the end. Events are repeated after they have been summed and shuffled.
+    over = F.when(F.col("s") > F.col("e"), n).otherwise(0)
+    events = boundary_events(rows.withColumn("e", F.col("e") + over), named, "s", "e").repartition(*named)
+    turns = F.explode(F.transform(F.array(F.lit(0), F.lit(n), F.lit(2 * n)), lambda t: F.col("point") + t)).alias("point")
+    events = events.select(*named, turns, "delta").groupBy(*named, "point").agg(F.sum("delta").alias("delta")).where("delta <> 0")
+    line = _swept(events, named, None)
     whole = F.col("end") - F.col("start") + 1 >= n
     place = lambda c: (F.lit(low) + F.pmod(F.col(c) - low, F.lit(n))).cast("int")
     chosen = line.where(whole | F.col("start").between(low + n, low + 2 * n - 1))
