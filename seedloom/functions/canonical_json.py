@@ -1,9 +1,8 @@
 """Canonical JSON: one byte sequence per JSON value.
 
 Members are sorted by UTF-16 code units, blanks left out, numbers written as ECMAScript does. Values outside JSON, numbers
-that aren't finite and lone surrogates are refused with a code and a JSON Pointer. The Arrow-batched column functions
-are the only Python in the path; where a column is known to hold plain integers and short decimals,
-``to_json(strict_json(...))`` gives the same text inside the JVM.
+that aren't finite and lone surrogates are refused with a code and a JSON Pointer. The column functions have plain text written by
+the JVM and look at the rest in Arrow batches.
 """
 
 from __future__ import annotations
@@ -151,15 +150,29 @@ def _checked(text: str | bytes | None) -> dict | None:
         return {"text": None, "code": INVALID_JSON, "path": "", "message": "nested too deeply"}
 
 
+#: Text whose canonical form the JVM writes too: printable ASCII without escapes, numbers that are whole and of up to 15 digits.
+_PLAIN = r"^[ -\[\]-~]*$"
+_NOT_PLAIN = r"[0-9][.eE]|[0-9]{16}"
+
+
 def checked_json(column: Column | str) -> Column:
-    """Per JSON text (string or binary): canonical text, or code, path and message of what is wrong; NULL for NULL."""
+    """Per JSON text (string or binary): canonical text, or code, path and message of what is wrong; NULL for NULL.
+
+    Plain text that reads as JSON is written by the JVM; only the rest is looked at in Python.
+    """
     kind = pa.struct([(n, pa.string()) for n in ("text", "code", "path", "message")])
 
     @F.arrow_udf(CHECKED)
     def run(texts: pa.Array) -> pa.Array:
         return pa.array([_checked(t) for t in texts.to_pylist()], kind)
 
-    return run(F.col(column) if isinstance(column, str) else column)
+    whole = F.col(column) if isinstance(column, str) else column
+    text = whole.cast("string")
+    # A text that isn't valid UTF-8 isn't plain, so the cast of a binary column changes nothing that is written here.
+    pair = F.when(text.rlike(_PLAIN) & ~text.rlike(_NOT_PLAIN), F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), text, F.lit(",0]"))), "$", "array<variant>"))
+    written = F.when(F.size(pair) == 2, F.to_json(F.get(pair, F.lit(0))))
+    none = F.lit(None).cast("string")
+    return F.coalesce(F.when(written.isNotNull(), F.struct(written.alias("text"), none.alias("code"), none.alias("path"), none.alias("message"))), run(F.when(written.isNull(), whole)))
 
 
 def canonical_json(column: Column | str) -> Column:

@@ -4,6 +4,7 @@ import math
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from seedloom.functions import canonical_json as c
 
@@ -70,3 +71,24 @@ def test_columns(spark):
     rows = [r.p for r in df.select(c.checked_json("t").alias("p")).collect()]
     assert [r and (r.text, r.code, r.path) for r in rows] == [('{"a":1,"b":1}', None, None), (None, c.DUPLICATE_KEY, "/a"), (None, c.INVALID_JSON, ""), None, (None, c.INVALID_JSON, ""), (None, c.UNSUPPORTED_VALUE, "")]
     assert df.limit(0).select(c.canonical_json("t")).collect() == []
+
+
+def test_both_ways_agree(spark):
+    import random
+
+    r = random.Random(2)
+
+    def value(depth):
+        kind = r.randrange(6 if depth else 4)
+        if kind < 4:
+            return [r.randrange(-(10**r.randrange(1, 15)), 10**r.randrange(1, 15)), "".join(r.choice("aZ ~!/<&'-_09:{}[],.é\\\"") for _ in range(6)), None, r.random() < 0.5][kind]
+        return [value(depth - 1) for _ in range(3)] if kind == 4 else {"".join(r.choice("abAB_ $09é") for _ in range(3)): value(depth - 1) for _ in range(4)}
+
+    texts = [json.dumps(value(4), ensure_ascii=r.random() < 0.5, indent=r.choice([None, 1])) for _ in range(600)]
+    texts += ["", " ", "{", "01", "-0", "[1 2]", "{} {}", '{"a":1,"a":2}', "1.50", "1e2", "12345678901234567", "tru", "'a'", '"\x7f"', '"/"', "  7  ", "[,]", '{"a":1,}', "NaN", "-", "[-0, 0]"]
+    df = spark.createDataFrame(list(enumerate(texts)), "n int, t string")
+    found = {x.n: (x.c and x.c.text, x.c and x.c.code) for x in df.select("n", c.checked_json("t").alias("c")).collect()}
+    binary = {x.n: (x.c and x.c.text, x.c and x.c.code) for x in df.select("n", c.checked_json(F.col("t").cast("binary")).alias("c")).collect()}
+    for n, t in enumerate(texts):
+        want = c._checked(t)
+        assert found[n] == binary[n] == (want["text"], want["code"]), t
