@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from seedloom.operators.intervals import circular_periods_and_gaps, periods_and_gaps
 from seedloom.operators.nested_tables import flat_paths
 from seedloom.operators.orphans import orphan_state, parent_rows, periodic_counts, referring_rows
-from seedloom.operators.snapshot_diff import snapshot_changes
+from seedloom.operators.snapshot_diff import MOST_SNAPSHOTS, KeptSnapshots, snapshot_changes
 from seedloom.operators.wide_table import filled_cells, typed_values, wide_table
 from seedloom.sources.tables import read_table
 
@@ -40,6 +41,19 @@ def p3_changes(spark: SparkSession, sf: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+def p3_kept(spark: SparkSession, sf: str) -> DataFrame:
+    """Changes of plants as the snapshots come one by one: each is kept, partitioned and sorted, and compared with the one before it alone."""
+    rows = read_table(spark, sf, "plant_concept_snapshots")
+    dates = [r.d for r in rows.select(F.col("snapshot_date").alias("d")).where("d is not null").distinct().orderBy("d").limit(MOST_SNAPSHOTS + 1).collect()]
+    if len(dates) > MOST_SNAPSHOTS:
+        raise ValueError(f"more than {MOST_SNAPSHOTS} snapshots")
+    kept, parts = KeptSnapshots(spark), []
+    for day in dates:
+        kept.add(rows.where(F.col("snapshot_date") == F.lit(day)).drop("snapshot_date"), day)
+        parts.append(kept.changes().select(F.date_format("snapshot", "yyyy-MM-dd").alias("snapshot_date"), "id", "change"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def p3_columns(spark: SparkSession, sf: str) -> DataFrame:
     """How many records changed in each column, per table and snapshot."""
     changes = p3_changes(spark, sf).where("change = 'changed'").select("table_name", "snapshot_date", F.explode("columns").alias("column"))
@@ -107,4 +121,4 @@ def p7_found(spark: SparkSession, sf: str) -> DataFrame:
     return flat_paths(assertions, read_table(spark, sf, "evidence_references", "id", "rights"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_wide, p1_cells, p3_found, p3_changes, p3_columns, p4_found, p4_counts, p5_found, p5_shipping, p7_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_wide, p1_cells, p3_found, p3_changes, p3_columns, p3_kept, p4_found, p4_counts, p5_found, p5_shipping, p7_found)}

@@ -198,6 +198,7 @@ UNION ALL SELECT l_suppkey, 'gap', e + 1, following - 1 FROM (SELECT l_suppkey,
 
 SQL = {
     "p3_columns": _P3_COLUMNS,
+    "p3_kept": f"SELECT snapshot_date, id, change FROM ({_P3}) WHERE table_name = 'plant_concept_snapshots'",
     "p5_shipping": _P5_SHIPPING,
     "p1_found": _P1,
     "p1_cells": _P1_CELLS,
