@@ -150,31 +150,43 @@ def _checked(text: str | bytes | None) -> dict | None:
         return {"text": None, "code": INVALID_JSON, "path": "", "message": "nested too deeply"}
 
 
-#: Text whose canonical form the JVM writes too: printable ASCII without escapes, numbers that are whole and of up to 15 digits.
+#: Text whose canonical form the JVM writes too: printable ASCII without escapes, and numbers that are short and written as they come out.
 _PLAIN = r"^[ -\[\]-~]*$"
-_NOT_PLAIN = r"[0-9][.eE]|[0-9]{16}"
+_NOT_PLAIN = r"[0-9][eE]|[0-9.]{16}|\.[0-9]{7}|\.[0-9]*0(?![0-9])"
 
 
-def checked_json(column: Column | str) -> Column:
-    """Per JSON text (string or binary): canonical text, or code, path and message of what is wrong; NULL for NULL.
-
-    Plain text that reads as JSON is written by the JVM; only the rest is looked at in Python.
-    """
+def _checked_batch(column: Column) -> Column:
     kind = pa.struct([(n, pa.string()) for n in ("text", "code", "path", "message")])
 
     @F.arrow_udf(CHECKED)
     def run(texts: pa.Array) -> pa.Array:
         return pa.array([_checked(t) for t in texts.to_pylist()], kind)
 
+    return run(column)
+
+
+def _ways(column: Column | str) -> tuple[Column, Column, Column]:
+    """(value, whether it is plain, what the JVM writes for it: NULL where it doesn't read as JSON)."""
     whole = F.col(column) if isinstance(column, str) else column
-    text = whole.cast("string")
-    # A text that isn't valid UTF-8 isn't plain, so the cast of a binary column changes nothing that is written here.
-    pair = F.when(text.rlike(_PLAIN) & ~text.rlike(_NOT_PLAIN), F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), text, F.lit(",0]"))), "$", "array<variant>"))
-    written = F.when(F.size(pair) == 2, F.to_json(F.get(pair, F.lit(0))))
+    text = whole.cast("string")  # bytes that aren't UTF-8 don't become plain
+    plain = F.coalesce(text.rlike(_PLAIN) & ~text.rlike(_NOT_PLAIN), F.lit(False))
+    pair = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), text, F.lit(",0]"))), "$", "array<variant>")
+    return whole, plain, F.get(F.transform(F.array(pair), lambda p: F.when(F.size(p) == 2, F.to_json(F.get(p, F.lit(0))))), F.lit(0))
+
+
+def checked_json(column: Column | str) -> Column:
+    """Per JSON text (string or binary): canonical text, or code, path and message of what is wrong; NULL for NULL.
+
+    Plain text that reads as JSON is written by the JVM; only the rest is looked at in Python.
+    """
+    whole, plain, written = _ways(column)
     none = F.lit(None).cast("string")
-    return F.coalesce(F.when(written.isNotNull(), F.struct(written.alias("text"), none.alias("code"), none.alias("path"), none.alias("message"))), run(F.when(written.isNull(), whole)))
+    good = F.struct(F.when(plain, written).alias("text"), none.alias("code"), none.alias("path"), none.alias("message"))
+    checked = _checked_batch(F.when(F.when(plain, written).isNull(), whole))
+    return F.coalesce(checked, F.when(whole.isNotNull(), good))
 
 
 def canonical_json(column: Column | str) -> Column:
-    """Canonical text of a JSON text; NULL where there is none."""
-    return checked_json(column)["text"]
+    """Canonical text of a JSON text; NULL where there is none. Plain text is written by the JVM, the rest in Python."""
+    whole, plain, written = _ways(column)
+    return F.when(plain, written).otherwise(_checked_batch(F.when(~plain, whole))["text"])

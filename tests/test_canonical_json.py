@@ -85,10 +85,12 @@ def test_both_ways_agree(spark):
         return [value(depth - 1) for _ in range(3)] if kind == 4 else {"".join(r.choice("abAB_ $09é") for _ in range(3)): value(depth - 1) for _ in range(4)}
 
     texts = [json.dumps(value(4), ensure_ascii=r.random() < 0.5, indent=r.choice([None, 1])) for _ in range(600)]
-    texts += ["", " ", "{", "01", "-0", "[1 2]", "{} {}", '{"a":1,"a":2}', "1.50", "1e2", "12345678901234567", "tru", "'a'", '"\x7f"', '"/"', "  7  ", "[,]", '{"a":1,}', "NaN", "-", "[-0, 0]"]
+    texts += ["", " ", "{", "01", "-0", "[1 2]", "{} {}", '{"a":1,"a":2}', "1.50", "1e2", "12345678901234567", "tru", "'a'", '"\x7f"', '"/"', "  7  ", "[,]", "0.5", "-0.25", "212.4", "0.000001", "0.0000012", "1.10", "[1.5,2.50]", "123456789.123456", "1.", ".5", "-1.5", "9.99999", "1.0", "100.001", '{"a":1,}', "NaN", "-", "[-0, 0]"]
     df = spark.createDataFrame(list(enumerate(texts)), "n int, t string")
     found = {x.n: (x.c and x.c.text, x.c and x.c.code) for x in df.select("n", c.checked_json("t").alias("c")).collect()}
     binary = {x.n: (x.c and x.c.text, x.c and x.c.code) for x in df.select("n", c.checked_json(F.col("t").cast("binary")).alias("c")).collect()}
+    plain = {x.n: x.t for x in df.select("n", c.canonical_json("t").alias("t")).collect()}
     for n, t in enumerate(texts):
         want = c._checked(t)
+        assert plain[n] == want["text"], t
         assert found[n] == binary[n] == (want["text"], want["code"]), t
