@@ -51,12 +51,13 @@ def spelling(predicate: Column) -> Column:
 
 
 def _spellings(registry: DataFrame) -> DataFrame:
-    """column, value_type and key, each spelling of a predicate; a registry with too many to be sent to every task is refused."""
+    """column, value_type and key, each spelling of a predicate, as rows of the plan; a registry with too many to be sent to every task is refused."""
     aliases = F.concat(F.array("predicate"), F.coalesce(F.col("aliases"), F.array().cast("array<string>")))
     names = registry.select(F.col("predicate").alias("column"), F.col("value_type"), F.explode(F.array_distinct(F.transform(aliases, spelling))).alias("key")).where("key is not null")
-    if names.limit(MOST_SPELLINGS + 1).count() > MOST_SPELLINGS:
+    rows = names.limit(MOST_SPELLINGS + 1).collect()
+    if len(rows) > MOST_SPELLINGS:
         raise ValueError(f"the registry has more than {MOST_SPELLINGS} spellings of predicates")
-    return names
+    return registry.sparkSession.createDataFrame(rows, "column string, value_type string, key string")
 
 
 def _number_sql(text: str) -> str:
@@ -93,7 +94,7 @@ def opened(rows: DataFrame) -> DataFrame:
     return rows.withColumn("v1", F.expr("if(size(pair) = 2, pair[0], v0)")).drop("pair", "text")
 
 
-def typed_cells(assertions: DataFrame, registry: DataFrame, subject: str = "subjectId", predicate: str = "predicate", value: str = "value", order: tuple[str, ...] = ()) -> DataFrame:
+def typed_cells(assertions: DataFrame, registry: DataFrame, subject: str = "subjectId", predicate: str = "predicate", value: str = "value", order: tuple[str, ...] = (), names: DataFrame | None = None) -> DataFrame:
     """Assertions with what they fill: subject, predicate (the registry's spelling), value_type, cell, rank.
 
     ``cell`` is a struct with one member per value type, all but the fitting one NULL; ``rank`` orders the cells of one
@@ -102,7 +103,7 @@ def typed_cells(assertions: DataFrame, registry: DataFrame, subject: str = "subj
     counts for each. JSON nested more than 1,000 levels or with a string above 20 million characters counts as unreadable: the JVM's
     parser refuses it.
     """
-    names = _spellings(registry)
+    names = _spellings(registry) if names is None else names
     rank = F.struct(*[F.col(c).alias(f"r{i}") for i, c in enumerate(order)], F.col(value).alias("text"))
     rows = assertions.select(F.col(subject).cast("string").alias("subject"), spelling(F.col(predicate)).alias("key"), F.col(value).alias("t"), rank.alias("rank"))
     rows = rows.where("subject is not null and key is not null and t is not null")
@@ -163,13 +164,12 @@ def characteristic_sets(cells: DataFrame) -> DataFrame:
     return sets.withColumn("signature", F.concat_ws("\n", F.array_sort(F.map_keys("cells"))))
 
 
-def by_frequency(assertions: DataFrame, registry: DataFrame, predicate: str = "predicate") -> list[str]:
-    """The registry's predicates, the rarest first, ties by name; the driver gets one number per predicate."""
+def by_frequency(assertions: DataFrame, names: DataFrame, columns: list[str], predicate: str = "predicate") -> list[str]:
+    """The registry's ``columns``, the rarest first, ties by name, from their spellings; the driver gets one number per predicate."""
     spelled = assertions.select(spelling(F.col(predicate)).alias("key")).groupBy("key").agg(F.count("*").alias("n"))
-    names = _spellings(registry).select("column", "key")
-    counts = names.join(spelled, "key").groupBy("column").agg(F.sum("n").alias("n")).collect()
+    counts = spelled.join(F.broadcast(names.select("column", "key")), "key").groupBy("column").agg(F.sum("n").alias("n")).collect()
     met = {r.column: r.n for r in counts}
-    return sorted(registry_columns(registry), key=lambda c: (met.get(c, 0), c))
+    return sorted(columns, key=lambda c: (met.get(c, 0), c))
 
 
 def wide_table(assertions: DataFrame, registry: DataFrame, subject: str = "subjectId", predicate: str = "predicate", value: str = "value", order: tuple[str, ...] = (), tables: int = TABLES) -> DataFrame:
@@ -185,8 +185,9 @@ def wide_table(assertions: DataFrame, registry: DataFrame, subject: str = "subje
         raise ValueError("two columns of the wide table would have the same name")
     if tables < 1:
         raise ValueError("there has to be a dense table")
-    sets = characteristic_sets(typed_cells(assertions, registry, subject, predicate, value, order))
-    ranked = by_frequency(assertions, registry, predicate)
+    names = _spellings(registry)
+    sets = characteristic_sets(typed_cells(assertions, registry, subject, predicate, value, order, names))
+    ranked = by_frequency(assertions, names, list(columns), predicate)
     tables = max(1, min(tables, len(ranked)))
     first = [-(-k * len(ranked) // tables) for k in range(tables)]  # rank of the rarest attribute that a table has
     number = {c: max(k for k in range(tables) if first[k] <= r) for r, c in enumerate(ranked)}

@@ -328,7 +328,7 @@ _CANONICAL = "concat_ws(',', " + ", ".join(f"'\"{m}\":' || (raw->'$.{m}')::VARCH
 @query(f"SELECT id, sha256('{{' || {_CANONICAL} || '}}') AS sha256 FROM localized_names")
 def canonical_record_hash(spark, sf):
     """Digest of the canonical form of every name as delivered: the same whatever the order of its members."""
-    checked = read_table(spark, sf, "localized_names", "id", "raw").select("id", checked_json("raw")["text"].alias("text"))
+    checked = read_table(spark, sf, "localized_names", "id", "raw").select("id", canonical_json("raw").alias("text"))
     return checked.select("id", sha256_hex(F.col("text")).alias("sha256"))
 
 
@@ -355,7 +355,7 @@ def chunk_assignment(spark, sf):
 @query()
 def gzip_artifact(spark, sf):
     """Reproducible chunks of all names as canonical JSON Lines: digest, size and entries."""
-    lines = read_table(spark, sf, "localized_names", "id", "raw").select("id", checked_json("raw")["text"].alias("line"))
+    lines = read_table(spark, sf, "localized_names", "id", "raw").select("id", canonical_json("raw").alias("line"))
     return gzip_chunks(lines, "id", "line").drop("bytes")
 
 
