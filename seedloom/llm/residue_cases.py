@@ -1,7 +1,9 @@
 """Cases that residue detection is measured on, labelled by hand; none of them is an exemplar.
 
 The operator doesn't read them; only the query and the tests that measure it do. UNSEEN cases were used to choose its parameters and to see which
-kinds of messages the exemplars lacked; HELD_OUT cases were written after that and changed nothing.
+kinds of messages the exemplars lacked. HELD_OUT cases were written after that; no exemplar comes from them, but their results were looked at while the
+last parameters were settled. FRESH cases were written when everything was settled and changed nothing: 27 of the 37 residues were found (0.73),
+1 of the 20 genuine sentences was marked.
 """
 
 # Residue of other kinds of systems than the exemplars'.
@@ -222,7 +224,7 @@ UNSEEN_GENUINE = [
     "The answer is on the second page of the manual.",
 ]
 
-# Residue, written after the exemplars and parameters were settled.
+# Residue that no exemplar was written from.
 HELD_OUT_RESIDUE = [
     "JavaScript must be enabled in order to use this forum.",
     "This content is only visible with scripts turned on.",
@@ -277,7 +279,7 @@ HELD_OUT_RESIDUE = [
     "Dear [Name], your crate leaves on %DAY%.",
 ]
 
-# Genuine sentences, written after the exemplars and parameters were settled.
+# Genuine sentences that no exemplar was written from.
 HELD_OUT_GENUINE = [
     "In the Jinja template I write {{ page.title }} and the output has no title.",
     "Why is %(name)s not replaced when I call the function?",
@@ -310,3 +312,68 @@ HELD_OUT_GENUINE = [
     "No, the valve is not available any more, they replaced it.",
     "Do you have to be logged in to see the map of the beds?",
 ]
+
+# Residue, written when everything was settled.
+FRESH_RESIDUE = [
+    "Your browser has JavaScript disabled, so comments cannot be shown.",
+    "Please enable scripts to view the full discussion.",
+    "JavaScript is needed to run this page.",
+    "This widget does not work without JavaScript.",
+    "Um diese Seite zu sehen, aktivieren Sie bitte JavaScript.",
+    "Merci d'activer JavaScript.",
+    "Para continuar, habilite JavaScript.",
+    "Error 404. The file you requested does not exist.",
+    "We can't find the page you are looking for.",
+    "This thread has been removed by a moderator.",
+    "Resource not found",
+    "Die Seite konnte nicht gefunden werden.",
+    "Cette page n'est plus disponible.",
+    "El contenido no existe.",
+    "Error 500: internal server error. Please contact support.",
+    "Sorry, an error occurred. Please try again later.",
+    "Service temporarily down for maintenance.",
+    "Connection to the server was lost. Retry.",
+    "Database query failed",
+    "Unhandled exception in module",
+    "503 - the server is overloaded",
+    "Der Dienst ist zurzeit nicht verfügbar.",
+    "Un problème est survenu, réessayez.",
+    "Servidor no disponible",
+    "You must be logged in to view this content.",
+    "Your account has been blocked.",
+    "Please sign in to read the rest.",
+    "Write your comment here",
+    "Title goes here",
+    "Placeholder",
+    "Text to be added",
+    "TBD",
+    "Lorem ipsum dolor",
+    "Hello %%NAME%%, welcome",
+    "Dear {first_name},",
+    "Best regards, {{ sender }}",
+    "Sow {{crop}} in [Month].",
+]
+
+# Genuine sentences, written when everything was settled.
+FRESH_GENUINE = [
+    "The template engine leaves {{ crop }} in the page when the value is null.",
+    "I wrote ${path} in the script and the shell expands it to nothing.",
+    "How can I get rid of a 404 in my log file?",
+    "My neighbour's server is down again.",
+    "I can't find the seeds I was looking for.",
+    "The page loads, but the chart is empty.",
+    "He removed the thread from the screw.",
+    "Why do scripts that read the sensor fail at night?",
+    "Please sign the list if you want to help.",
+    "The title of my post was too long.",
+    "Does the service include delivery?",
+    "The maintenance of the pump takes an hour.",
+    "The first error is in line two of my query.",
+    "You can view the data in any browser.",
+    "Der Server im Keller läuft seit Jahren.",
+    "La page du livre est abîmée.",
+    "No pude conectar la manguera.",
+    "The comment under the photo explains it.",
+    "Write the date on the label with a pencil.",
+    "The content of the bag is compost.",
+]
